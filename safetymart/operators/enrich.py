@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -13,12 +13,16 @@ from safetymart.functions.text import is_blank
 
 
 def contamination_flags(
-    df: DataFrame, text_col: str = "reason", rules: Sequence = R.CONTAMINATION_RULES
+    df: DataFrame,
+    text_col: str = "reason",
+    rules: Sequence = R.CONTAMINATION_RULES,
+    literals: Mapping[str, Sequence[str]] | None = None,
 ) -> DataFrame:
     """One boolean column per rule, from a search in the whole text."""
-    return regex_flags(
-        df, text_col, [(name, pattern) for name, _, pattern in rules], R.FLAG_PREFIX
-    )
+    if literals is None and rules is R.CONTAMINATION_RULES:
+        literals = R.CONTAMINATION_LITERALS
+    patterns = [(name, pattern) for name, _, pattern in rules]
+    return regex_flags(df, text_col, patterns, R.FLAG_PREFIX, literals)
 
 
 def contamination_category(
@@ -32,10 +36,14 @@ def contamination_category(
 
 
 def parse_contamination(
-    df: DataFrame, text_col: str = "reason", rules: Sequence = R.CONTAMINATION_RULES
+    df: DataFrame,
+    text_col: str = "reason",
+    rules: Sequence = R.CONTAMINATION_RULES,
+    literals: Mapping[str, Sequence[str]] | None = None,
 ) -> DataFrame:
-    """Flags and category; each pattern is searched once per row."""
-    return contamination_category(contamination_flags(df, text_col, rules), rules)
+    """Flags and category; each pattern is searched at most once per row."""
+    flagged = contamination_flags(df, text_col, rules, literals)
+    return contamination_category(flagged, rules)
 
 
 def add_time_dimensions(df: DataFrame, date_col: str = "recall_date") -> DataFrame:

@@ -63,6 +63,23 @@ CONTAMINATION_RULES = (
     ),
 )
 DEFAULT_CATEGORY = "Other"
+
+# Lower-case literals per rule, at least one of which is in every text that the
+# rule's pattern matches. A rule without literals is searched in every text.
+CONTAMINATION_LITERALS = {
+    "salmonella": ("salmonella",),
+    "listeria": ("listeria", "monocytogenes"),
+    "ecoli": ("coli", "escherichia"),
+    "undeclared_milk": ("milk",),
+    "undeclared_peanut": ("peanut",),
+    "undeclared_soy": ("soy",),
+    "undeclared_egg": ("egg",),
+    "undeclared_wheat": ("wheat", "gluten"),
+    "undeclared_tree_nuts": ("undeclared",),
+    "undeclared_allergen_other": ("allergen",),
+    "foreign_object": ("foreign ", "glass", "fragment", "plastic"),
+    "mislabeling": ("mislabel", "misbranded", "incorrect", "wrong"),
+}
 FLAG_PREFIX = "contam_"
 
 # --- Fixed values: category groups ------------------------------------------

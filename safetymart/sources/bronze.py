@@ -23,9 +23,9 @@ def page_records(pages: DataFrame, text_col: str = RECORD) -> DataFrame:
     """Records of page envelopes, from the ``results`` array of each page.
 
     Every record stays the JSON text it was, whatever its fields. A page
-    without ``results`` gives no records.
+    without ``results`` gives no records; text that is not JSON fails the job.
     """
-    envelope = F.from_json(text_col, "results array<string>")
+    envelope = F.from_json(text_col, "results array<string>", {"mode": "FAILFAST"})
     return pages.select(_elements(envelope["results"]))
 
 
@@ -40,8 +40,12 @@ def array_records(arrays: DataFrame, text_col: str = RECORD) -> DataFrame:
 
 
 def read_documents(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """One row per file, its whole text: API responses as they were saved."""
-    return spark.read.option("wholetext", True).text(path)
+    """One row per file, its whole text: API responses as they were saved.
+
+    A response is one JSON value and cannot be split, so that each file is read
+    by one task, many files by many tasks. Empty files are skipped.
+    """
+    return spark.read.text(path, wholetext=True)
 
 
 def read_pages(spark: SparkSession, path: str | list[str]) -> DataFrame:
@@ -140,4 +144,4 @@ def malformed(scan: DataFrame) -> DataFrame:
 
     The fields come along because Spark does not read the text of such lines alone.
     """
-    return scan.filter(F.col(CORRUPT).isNotNull())
+    return scan.filter(F.col(CORRUPT).isNotNull()).withColumnRenamed(CORRUPT, "line")

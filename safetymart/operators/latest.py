@@ -39,7 +39,8 @@ def keep_latest(
             and not isinstance(f.dataType, _UNORDERED)
         ]
     if not keep_null_key:
-        df = df.dropna(how="any", subset=list(keys))
+        for key in keys:
+            df = df.filter(F.col(key).isNotNull())
     best_first = Window.partitionBy(*keys).orderBy(
         *[F.col(c).desc_nulls_last() for c in latest_by],
         *[F.col(c).asc_nulls_last() for c in tie_breakers],

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from functools import reduce
+from operator import or_
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -64,19 +65,16 @@ def unaccepted_values(
 ) -> DataFrame:
     """Each value outside its column's list, with its rows; null passes.
 
-    One scan for all columns; a clean table sends nothing into the shuffle.
+    One scan for all columns; rows without an offence go no further than a filter.
     """
-    offences = F.array(
-        *[
-            F.when(
-                ~F.col(c).isin(*values),
-                F.struct(F.lit(c).alias("column_name"), F.col(c).alias("value")),
-            )
-            for c, values in accepted.items()
-        ]
-    )
+    offends = {c: ~F.col(c).isin(*values) for c, values in accepted.items()}
+    pairs = [
+        F.when(offence, F.struct(F.lit(c).alias("column_name"), F.col(c).alias("value")))
+        for c, offence in offends.items()
+    ]
     return (
-        df.select(F.inline(F.filter(offences, lambda o: o.isNotNull())))
+        df.filter(reduce(or_, offends.values()))
+        .select(F.inline(F.array_compact(F.array(*pairs))))
         .groupBy("column_name", "value")
         .agg(F.count(F.lit(1)).alias("row_count"))
     )

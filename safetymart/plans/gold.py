@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from safetymart.operators import marts
 from safetymart.operators.quality import model_checks
+from safetymart.session import sized_shuffles
 from safetymart.sources.layout import delete_dir, swap_in
 from safetymart.sources.tables import read_fact, write_fact
 
@@ -55,7 +56,8 @@ def run_gold(
     run = uuid.uuid4().hex
     fresh = f"{parent}/.{name}.new-{run}"
     try:
-        checks = _build_aside(spark, marts.stg_recalls(silver), fresh)
+        with sized_shuffles(silver):
+            checks = _build_aside(spark, marts.stg_recalls(silver), fresh)
         failed = [r.asDict() for r in checks if r["failures"]]
         if failed and on_failure == "raise":
             raise QualityError(f"checks failed: {failed}")

@@ -18,6 +18,7 @@ from safetymart.operators.normalize import (
 )
 from safetymart.operators.quality import feed_profile
 from safetymart.schemas import SILVER_COLUMNS, UNIFIED_COLUMNS
+from safetymart.session import sized_shuffles
 from safetymart.sources.bronze import malformed, scan_bronze, well_formed
 from safetymart.sources.tables import write_silver
 
@@ -124,6 +125,7 @@ def run_silver(
             raise FeedError(f"feeds below their minimum size: {small}")
         for feed in {r["feed"] for r in profile if r["malformed"] and quarantine}:
             malformed(scans[feed]).write.mode("overwrite").json(f"{quarantine}/{feed}")
-    notices = build_silver(well_formed(scans["fda"]), well_formed(scans["fsis"]))
-    path = write_silver(notices, silver, day)
+    unified = unify(well_formed(scans["fda"]), well_formed(scans["fsis"]))
+    with sized_shuffles(unified):
+        path = write_silver(enrich_notices(latest_notices(unified)), silver, day)
     return SilverRun(path, spark.read.parquet(path).count(), profile)

@@ -1,24 +1,33 @@
-"""Session and scratch folder."""
+"""Session, shuffle sizes and scratch folder."""
 
 from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+
+# Bytes that one shuffle partition should hold, and the most partitions: each
+# adds a block to every map task's output, so that large inputs take larger ones.
+PARTITION_BYTES = 256 * 1024**2
+MOST_PARTITIONS = 50_000
 
 
 def build_session(app: str = "safetymart", **conf: str) -> SparkSession:
     """A session with the settings the jobs rely on; any of them can be overridden.
 
-    Adaptive execution sizes shuffle partitions at run time, splits skewed ones
-    and, at the fact table's rebalance, skewed months. The number of shuffle
-    partitions before coalescing is left to the cluster's own configuration.
+    Adaptive execution merges small shuffle partitions at run time and splits
+    skewed ones in joins and, at the fact table's rebalance, skewed months. It
+    cannot split a partition of a window or an aggregate, for which the runs
+    raise the number of partitions by the size of their input.
     """
     settings = {
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
         "spark.sql.session.timeZone": "UTC",
         **conf,
     }
@@ -28,6 +37,33 @@ def build_session(app: str = "safetymart", **conf: str) -> SparkSession:
     return builder.getOrCreate()
 
 
+def partitions_for(size: int, configured: int) -> int:
+    """Shuffle partitions for so many bytes, never fewer than configured."""
+    return max(configured, min(-(-size // PARTITION_BYTES), MOST_PARTITIONS))
+
+
+@contextmanager
+def sized_shuffles(df: DataFrame) -> Iterator[int]:
+    """Within the block, shuffles have partitions enough for the size of ``df``.
+
+    The size is Catalyst's estimate from the files below. A number set for
+    adaptive execution to start from is left alone.
+    """
+    spark = df.sparkSession
+    name = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(name)
+    if spark.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None):
+        yield int(before)
+        return
+    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    partitions = partitions_for(int(size), int(before))
+    spark.conf.set(name, str(partitions))
+    try:
+        yield partitions
+    finally:
+        spark.conf.set(name, before)
+
+
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A new folder name for intermediate tables, in the cluster's shared folder.
 

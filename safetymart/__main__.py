@@ -38,6 +38,9 @@ def _parser() -> argparse.ArgumentParser:
             command.add_argument(
                 "--enforce-min-rows", action="store_true", help="stop on small feeds"
             )
+            command.add_argument(
+                "--require-fields", action="store_true", help="stop on missing fields"
+            )
         if name in ("gold", "all"):
             command.add_argument("--gold", required=True)
             command.add_argument(
@@ -60,6 +63,7 @@ def main(argv: list[str] | None = None) -> None:
             args.date,
             as_of=args.as_of,
             min_rows=R.MIN_ROWS if args.enforce_min_rows else None,
+            require_fields=args.require_fields,
             quarantine=args.quarantine,
         )
         for row in run.feeds:

@@ -25,16 +25,14 @@ def parse_date(text: Column, pattern: str) -> Column:
 
 
 def state_code(state: Column, codes: dict[str, str]) -> Column:
-    """Two-letter code of a state name.
+    """Two-letter code of a state name; anything else passes in upper case.
 
-    Two-character values are only upper-cased; names missing from ``codes``
-    pass through in upper case.
+    Two-character values are codes already and not looked up.
     """
-    trimmed = F.trim(state)
-    lookup = F.create_map(*[F.lit(x) for pair in codes.items() for x in pair])
-    return F.when(F.length(trimmed) == 2, F.upper(trimmed)).otherwise(
-        F.coalesce(lookup[F.lower(trimmed)], F.upper(trimmed))
-    )
+    name = F.trim(state)
+    code_of = F.create_map(*[F.lit(x) for pair in codes.items() for x in pair])
+    looked_up = F.when(F.length(name) != 2, code_of[F.lower(name)])
+    return F.coalesce(looked_up, F.upper(name))
 
 
 def content_key(prefix: str, *fields: str) -> Column:

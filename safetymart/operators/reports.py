@@ -76,6 +76,13 @@ def raw_sample(raw: DataFrame, columns: list[str], n: int) -> DataFrame:
     )
 
 
+def describe_columns(df: DataFrame) -> DataFrame:
+    """Name and type of each column, in order."""
+    rows = [(i, name, kind) for i, (name, kind) in enumerate(df.dtypes, start=1)]
+    schema = "position int, column_name string, column_type string"
+    return df.sparkSession.createDataFrame(rows, schema)
+
+
 def trend_by_year(fct: DataFrame, weight: str | None = None) -> DataFrame:
     """How have notices developed over time?"""
     return count_by(

@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 
 from safetymart.operators import marts
 from safetymart.operators.quality import model_checks
 from safetymart.session import sized_shuffles
-from safetymart.sources.layout import delete_dir, swap_in
+from safetymart.sources.layout import delete_dir, hidden_beside, swap_in
 from safetymart.sources.tables import read_fact, write_fact
 
 # Aggregates that follow from the table of counts.
@@ -20,6 +18,17 @@ ROLLUP_MARTS = {
 }
 
 
+MODELS = (
+    "fct_recalls",
+    "dim_firms",
+    "dim_contaminants",
+    "dim_dates",
+    "agg_recalls_by_state",
+    *ROLLUP_MARTS,
+    "rollup",
+)
+
+
 class QualityError(ValueError):
     """Checks failed; nothing was published."""
 
@@ -52,22 +61,28 @@ def run_gold(
     """
     if on_failure not in ("raise", "warn"):
         raise ValueError(f"on_failure must be 'raise' or 'warn', not {on_failure!r}")
-    parent, _, name = gold.rstrip("/").rpartition("/")
-    run = uuid.uuid4().hex
-    fresh = f"{parent}/.{name}.new-{run}"
+    fresh, retired = hidden_beside(gold)
     try:
         with sized_shuffles(silver):
             checks = _build_aside(spark, marts.stg_recalls(silver), fresh)
         failed = [r.asDict() for r in checks if r["failures"]]
         if failed and on_failure == "raise":
             raise QualityError(f"checks failed: {failed}")
-        swap_in(spark, fresh, gold, f"{parent}/.{name}.old-{run}")
+        swap_in(spark, fresh, gold, retired)
     except BaseException:
         delete_dir(spark, fresh)
         raise
     return checks
 
 
+def gold_views(spark: SparkSession, gold: str) -> dict[str, DataFrame]:
+    """The published models, also as temporary views for SQL."""
+    models = {name: spark.read.parquet(f"{gold}/{name}") for name in MODELS}
+    for name, df in models.items():
+        df.createOrReplaceTempView(name)
+    return models
+
+
 def _build_aside(spark: SparkSession, stg: DataFrame, folder: str) -> list:
     def stored(name: str, df: DataFrame) -> DataFrame:
         df.write.parquet(f"{folder}/{name}")

@@ -97,6 +97,7 @@ def run_silver(
     as_of: bool = False,
     min_rows: dict[str, int] | None = None,
     check_feeds: bool = True,
+    require_fields: bool = False,
     quarantine: str | None = None,
 ) -> SilverRun:
     """Read one bronze day, write the silver day, report.
@@ -105,24 +106,29 @@ def run_silver(
     and their malformed lines in one extra pass over the needed fields. It is a
     pass of its own, and not a metric observed during the write, because a map
     task that is run again after a lost executor would be counted twice.
-    Feeds below ``min_rows`` stop the run; malformed lines go to ``quarantine``
-    when it is given and are left out of silver.
+    Feeds below ``min_rows`` stop the run, and with ``require_fields`` so do
+    nulls in required fields. Malformed lines go to ``quarantine`` when it is
+    given and are left out of silver.
     """
     scans = {feed: scan_bronze(spark, bronze, feed, day, as_of) for feed in R.MIN_ROWS}
     profile: list = []
-    if check_feeds:
+    if check_feeds or min_rows or require_fields:
         profiles = [
             feed_profile(scan, feed, R.REQUIRED_FIELDS[feed])
             for feed, scan in scans.items()
         ]
         profile = profiles[0].unionByName(profiles[1]).collect()
-        small = {
-            r["feed"]: r["row_count"]
+        problems = [
+            f"{r['feed']}: {r['row_count']} rows"
             for r in profile
             if r["row_count"] < (min_rows or {}).get(r["feed"], 0)
-        }
-        if small:
-            raise FeedError(f"feeds below their minimum size: {small}")
+        ] + [
+            f"{r['feed']}: {r['missing']} rows without {r['field']}"
+            for r in profile
+            if require_fields and r["missing"]
+        ]
+        if problems:
+            raise FeedError("; ".join(sorted(set(problems))))
         for feed in {r["feed"] for r in profile if r["malformed"] and quarantine}:
             malformed(scans[feed]).write.mode("overwrite").json(f"{quarantine}/{feed}")
     unified = unify(well_formed(scans["fda"]), well_formed(scans["fsis"]))

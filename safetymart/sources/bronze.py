@@ -9,7 +9,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from safetymart.schemas import CORRUPT, FEEDS
-from safetymart.sources.layout import day_dir, feed_dir, replace_dir, resolve_day
+from safetymart.sources.layout import (
+    MissingFeedError,
+    as_day,
+    day_dir,
+    feed_dir,
+    list_days,
+    replace_dir,
+    resolve_day,
+)
 
 # A record as it was received: its JSON text, in one column of this name.
 RECORD = "value"
@@ -118,20 +126,22 @@ def scan_bronze_days(
 ) -> DataFrame:
     """All days of a feed from ``first`` to ``last``, with ``ingest_date``.
 
-    The filter is on the folder names, so that other days are not read.
+    Each day is a full snapshot, so that only folders of the wanted days are
+    listed: the names of the folders tell which.
     """
     folder = feed_dir(base, feed)
-    parts = T.StructType(
-        [T.StructField(p, T.IntegerType()) for p in ("year", "month", "day")]
-    )
+    days = [d for d in list_days(spark, folder) if as_day(first) <= d <= as_day(last)]
+    if not days:
+        raise MissingFeedError(f"no data from {first} to {last} in {folder}")
+    parts = [T.StructField(p, T.IntegerType()) for p in ("year", "month", "day")]
     corrupt = T.StructField(CORRUPT, T.StringType())
-    day = F.make_date("year", "month", "day")
+    ingest_date = F.make_date("year", "month", "day").alias("ingest_date")
     return (
         spark.read.schema(T.StructType([*FEEDS[feed], corrupt, *parts]))
         .option("columnNameOfCorruptRecord", CORRUPT)
-        .json(folder)
-        .filter(day.between(F.lit(str(first)).cast("date"), F.lit(str(last)).cast("date")))
-        .select(*FEEDS[feed].fieldNames(), CORRUPT, day.alias("ingest_date"))
+        .option("basePath", folder)
+        .json([day_dir(folder, d) for d in days])
+        .select(*FEEDS[feed].fieldNames(), CORRUPT, ingest_date)
     )
 
 

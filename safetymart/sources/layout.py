@@ -77,6 +77,16 @@ def resolve_day(
     return earlier[-1]
 
 
+def hidden_beside(path: str) -> tuple[str, str]:
+    """Two new names next to ``path``, for its next and its previous content.
+
+    Names that start with a dot are invisible to Spark's readers.
+    """
+    head, slash, name = path.rstrip("/").rpartition("/")
+    run = uuid.uuid4().hex
+    return f"{head}{slash}.{name}.new-{run}", f"{head}{slash}.{name}.old-{run}"
+
+
 def replace_dir(spark: SparkSession, path: str, write: Callable[[str], None]) -> None:
     """Let ``write`` fill a new folder beside ``path``, then swap it in.
 
@@ -85,10 +95,7 @@ def replace_dir(spark: SparkSession, path: str, write: Callable[[str], None]) ->
     an object store a rename is a copy, and a table format with atomic commits
     is the better target there.
     """
-    parent, _, name = path.rstrip("/").rpartition("/")
-    run = uuid.uuid4().hex
-    # Names that start with a dot are invisible to Spark's readers.
-    fresh, retired = f"{parent}/.{name}.new-{run}", f"{parent}/.{name}.old-{run}"
+    fresh, retired = hidden_beside(path)
     try:
         write(fresh)
     except BaseException:
@@ -98,6 +105,7 @@ def replace_dir(spark: SparkSession, path: str, write: Callable[[str], None]) ->
 
 
 def swap_in(spark: SparkSession, fresh: str, path: str, retired: str) -> None:
+    """Make ``fresh`` the content of ``path``; a failed swap is undone."""
     had_data = exists(spark, path)
     if had_data:
         _rename(spark, path, retired)

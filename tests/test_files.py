@@ -5,7 +5,7 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
-from safetymart.plans.gold import QualityError, run_gold
+from safetymart.plans.gold import MODELS, QualityError, gold_views, run_gold
 from safetymart.plans.silver import FeedError, run_silver
 from safetymart.schemas import CORRUPT, FDA_RAW, FSIS_RAW
 from safetymart.sources import bronze, layout, tables
@@ -74,6 +74,13 @@ def test_a_table_can_be_replaced_by_what_was_read_from_it(spark, base):
     assert spark.read.parquet(target).count() == 4
 
 
+def test_new_content_stands_beside_the_old():
+    for path, prefix in (("s3a://b/x/gold/", "s3a://b/x/"), ("/gold", "/"), ("gold", "")):
+        fresh, retired = layout.hidden_beside(path)
+        assert fresh.startswith(f"{prefix}.gold.new-")
+        assert retired.startswith(f"{prefix}.gold.old-")
+
+
 # --- Bronze --------------------------------------------------------------------
 
 
@@ -128,9 +135,12 @@ def test_range_of_days_reads_only_their_folders(spark, base, fda, rows):
         ("F-1", date(2024, 4, 7)),
         ("F-2", date(2024, 4, 14)),
     ]
-    plan = days._jdf.queryExecution().executedPlan().toString()
-    filters = plan.split("PartitionFilters: [")[1].split("PushedFilters")[0]
-    assert "make_date" in filters
+    assert {f.split("/raw/")[1].rsplit("/", 1)[0] for f in days.inputFiles()} == {
+        "fda/year=2024/month=04/day=07",
+        "fda/year=2024/month=04/day=14",
+    }
+    with pytest.raises(layout.MissingFeedError):
+        bronze.scan_bronze_days(spark, base, "fda", "2022-01-01", "2022-12-31")
 
 
 def test_pages(spark, base, rows):
@@ -254,6 +264,8 @@ def test_malformed_lines_are_set_aside(spark, landed):
 def test_small_feeds_stop_the_run(spark, landed):
     with pytest.raises(FeedError, match="fsis"):
         run_silver(spark, landed, landed, DAY, min_rows={"fda": 3, "fsis": 3})
+    with pytest.raises(FeedError, match="1 rows without recall_number"):
+        run_silver(spark, landed, landed, DAY, require_fields=True)
     assert not Path(f"{landed}/silver").exists()
 
 
@@ -290,18 +302,14 @@ def test_gold_run_publishes_all_models(spark, landed):
     silver = run_silver(spark, landed, landed, DAY).read(spark)
     checks = run_gold(spark, silver, f"{landed}/gold")
     assert len(checks) == 12 and not any(r["failures"] for r in checks)
-    models = {p.name for p in Path(f"{landed}/gold").iterdir()}
-    assert models == {
-        "fct_recalls",
-        "dim_firms",
-        "dim_contaminants",
-        "dim_dates",
-        "agg_recalls_by_year",
-        "agg_recalls_by_state",
-        "agg_contaminants_by_year",
-        "agg_class1_by_contaminant",
-        "rollup",
-    }
+    assert {p.name for p in Path(f"{landed}/gold").iterdir()} == set(MODELS)
+    assert set(gold_views(spark, f"{landed}/gold")) == set(MODELS)
+    totals = spark.sql(
+        """SELECT (SELECT count(*) FROM fct_recalls) AS rows,
+            (SELECT sum(recall_count) FROM agg_recalls_by_year) AS by_year,
+            (SELECT count(*) FROM dim_dates) AS dates"""
+    )
+    assert tuple(totals.first()) == (2, 2, 2)
     assert not list(Path(landed).glob(".gold*"))
     assert spark.read.parquet(f"{landed}/gold/dim_firms").count() == 1
 

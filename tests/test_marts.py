@@ -207,3 +207,12 @@ def test_sample_is_repeatable(spark):
     for parts in (1, 3):
         got = reports.raw_sample(df.repartition(parts), ["k"], 2).collect()
         assert [r["k"] for r in got] == ["a", "b"]
+
+
+def test_description_of_columns(spark):
+    df = spark.createDataFrame([], "a string, b date, c array<int>")
+    assert [tuple(r) for r in reports.describe_columns(df).collect()] == [
+        (1, "a", "string"),
+        (2, "b", "date"),
+        (3, "c", "array<int>"),
+    ]

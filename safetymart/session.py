@@ -37,6 +37,22 @@ def build_session(app: str = "safetymart", **conf: str) -> SparkSession:
     return builder.getOrCreate()
 
 
+@contextmanager
+def settings(spark: SparkSession, conf: dict[str, str]) -> Iterator[None]:
+    """The session with ``conf`` within the block, as it was afterwards."""
+    before = {name: spark.conf.get(name, None) for name in conf}
+    for name, value in conf.items():
+        spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        for name, value in before.items():
+            if value is None:
+                spark.conf.unset(name)
+            else:
+                spark.conf.set(name, value)
+
+
 def partitions_for(size: int, configured: int) -> int:
     """Shuffle partitions for so many bytes, never fewer than configured."""
     return max(configured, min(-(-size // PARTITION_BYTES), MOST_PARTITIONS))
@@ -51,17 +67,12 @@ def sized_shuffles(df: DataFrame) -> Iterator[int]:
     """
     spark = df.sparkSession
     name = "spark.sql.shuffle.partitions"
-    before = spark.conf.get(name)
-    if spark.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None):
-        yield int(before)
-        return
-    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    partitions = partitions_for(int(size), int(before))
-    spark.conf.set(name, str(partitions))
-    try:
+    partitions = int(spark.conf.get(name))
+    if not spark.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None):
+        size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+        partitions = partitions_for(int(size), partitions)
+    with settings(spark, {name: str(partitions)}):
         yield partitions
-    finally:
-        spark.conf.set(name, before)
 
 
 def scratch_dir(spark: SparkSession, label: str) -> str:

@@ -8,10 +8,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from safetymart.operators.marts import stg_recalls
+from safetymart.session import settings
 from safetymart.sources.layout import day_dir, replace_dir, resolve_day, silver_dir
 
 FACT_MONTH = "recall_month_start"
 
+# Without these a rebalance is a plain hash shuffle: one task per month.
+_SPLIT_LARGE_MONTHS = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+}
+
 
 def read_inferred(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """NDJSON with whatever fields it has; the inference is one more pass."""
@@ -86,11 +93,12 @@ def write_fact(fct: DataFrame, path: str) -> None:
 
     Rows without a date go to the default partition.
     """
-    replace_dir(
-        fct.sparkSession,
-        path,
-        lambda fresh: by_month(fct).write.partitionBy(FACT_MONTH).parquet(fresh),
-    )
+    with settings(fct.sparkSession, _SPLIT_LARGE_MONTHS):
+        replace_dir(
+            fct.sparkSession,
+            path,
+            lambda fresh: by_month(fct).write.partitionBy(FACT_MONTH).parquet(fresh),
+        )
 
 
 def read_fact(spark: SparkSession, path: str) -> DataFrame:

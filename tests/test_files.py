@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from safetymart.plans.gold import MODELS, QualityError, gold_views, run_gold
 from safetymart.plans.silver import FeedError, run_silver
 from safetymart.schemas import CORRUPT, FDA_RAW, FSIS_RAW
+from safetymart.session import settings
 from safetymart.sources import bronze, layout, tables
 
 DAY = "2024-04-14"
@@ -382,17 +383,15 @@ def test_fact_is_partitioned_by_month_and_sorted(spark, fact):
 
 def test_a_month_with_most_rows_is_split(spark, fact):
     df, path = fact
-    settings = {
+    small = {
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k",
         "spark.sql.adaptive.coalescePartitions.minPartitionSize": "1k",
+        "spark.sql.adaptive.enabled": "false",
     }
-    for key, value in settings.items():
-        spark.conf.set(key, value)
-    try:
+    with settings(spark, small):
         tables.write_fact(df.repartition(8), path)
-    finally:
-        for key in settings:
-            spark.conf.unset(key)
+        assert spark.conf.get("spark.sql.adaptive.enabled") == "false"
+    assert spark.conf.get("spark.sql.adaptive.enabled") == "true"
     hot = list(Path(path).glob("recall_month_start=2024-03-01/*.parquet"))
     assert len(hot) > 2
     assert tables.read_fact(spark, path).count() == 6000

@@ -21,16 +21,12 @@ _EARLIER = "2024-04-07"
 
 
 def page_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Records out of page envelopes; every seventh page has no results."""
+    """Records out of page envelopes, among them pages without results."""
     record = F.to_json(F.struct("*"))
-    page = F.when(
-        F.col("has_results"),
-        F.concat(F.lit('{"meta":{},"results":['), record, F.lit("]}")),
-    ).otherwise('{"meta":{}}')
-    raw = fda_raw(spark, sf_dir)
-    has_results = ~F.coalesce(F.col("product_quantity").endswith("7 cases"), F.lit(False))
-    pages = raw.withColumn("has_results", has_results).select(page.alias("value"))
-    records = bronze.page_records(pages)
+    page = F.concat(F.lit('{"meta":{},"results":['), record, F.lit("]}"))
+    pages = fda_raw(spark, sf_dir).select(page.alias("value"))
+    empty = fsis_raw(spark, sf_dir).select(F.lit('{"meta":{}}').alias("value"))
+    records = bronze.page_records(pages.unionByName(empty))
     return bronze.parse_records(records, FDA_RAW)
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame, SparkSession
 
 from safetymart.operators import marts
@@ -18,6 +20,9 @@ ROLLUP_MARTS = {
 }
 
 
+# Models written at the same time.
+WRITERS = 4
+
 MODELS = (
     "fct_recalls",
     "dim_firms",
@@ -84,28 +89,46 @@ def gold_views(spark: SparkSession, gold: str) -> dict[str, DataFrame]:
 
 
 def _build_aside(spark: SparkSession, stg: DataFrame, folder: str) -> list:
-    def stored(name: str, df: DataFrame) -> DataFrame:
-        df.write.parquet(f"{folder}/{name}")
-        return spark.read.parquet(f"{folder}/{name}")
-
     write_fact(marts.fct_recalls(stg), f"{folder}/fct_recalls")
     fct = read_fact(spark, f"{folder}/fct_recalls")
-    firms = stored("dim_firms", marts.dim_firms(fct))
-    stored("dim_dates", marts.dim_dates(fct))
-    stored("agg_recalls_by_state", marts.agg_recalls_by_state(fct))
 
-    rollup = stored("rollup", marts.recall_rollup(fct))
-    contaminants = stored("dim_contaminants", marts.dim_contaminants(rollup))
-    for name, build in ROLLUP_MARTS.items():
-        stored(name, build(rollup, weight="recall_count"))
+    def store(models: dict[str, DataFrame]) -> None:
+        # Writes that do not depend on each other overlap, so that the last tasks
+        # of one leave no executor idle.
+        with ThreadPoolExecutor(WRITERS) as pool:
+            writes = [
+                pool.submit(df.write.parquet, f"{folder}/{name}")
+                for name, df in models.items()
+            ]
+        for write in writes:
+            write.result()
+
+    def stored(name: str) -> DataFrame:
+        return spark.read.parquet(f"{folder}/{name}")
 
-    # The fact holds the staging rows, column for column.
-    checks = model_checks(
+    store(
+        {
+            "dim_firms": marts.dim_firms(fct),
+            "dim_dates": marts.dim_dates(fct),
+            "agg_recalls_by_state": marts.agg_recalls_by_state(fct),
+            "rollup": marts.recall_rollup(fct),
+        }
+    )
+    rollup = stored("rollup")
+    store(
+        {
+            "dim_contaminants": marts.dim_contaminants(rollup),
+            **{
+                name: build(rollup, weight="recall_count")
+                for name, build in ROLLUP_MARTS.items()
+            },
+        }
+    )
+    return model_checks(
         {
             "stg_recalls": stg,
             "fct_recalls": fct,
-            "dim_firms": firms,
-            "dim_contaminants": contaminants,
+            "dim_firms": stored("dim_firms"),
+            "dim_contaminants": stored("dim_contaminants"),
         }
-    )
-    return checks.collect()
+    ).collect()

@@ -79,6 +79,9 @@ def duplicate_groups(
     groups = light.groupBy("digest", "run").agg(
         F.min(rank).alias("best"), F.count(F.lit(1)).alias("group_size")
     )
+    # Written, so that the join below is between two shuffles and a content with
+    # many rows can be split.
+    groups = stored(groups, "groups")
     best = rank.eqNullSafe(F.col("best"))
     return light.join(groups, ["digest", "run"]).select(
         F.col("id").alias(id_col),

@@ -27,7 +27,7 @@ _WHITE = "\t-\r \x85\xa0" + "".join(
 _CHUNKS = re.compile(f" ?[^{_WHITE}]+|[{_WHITE}]+(?![^{_WHITE}])|[{_WHITE}]+")
 
 # Distinct chunks whose ids a task remembers, and the longest it remembers.
-CACHED, CACHED_CHARS = 400_000, 48
+CACHED, CACHED_CHARS = 600_000, 48
 SEPARATOR = 0
 PIECES = "id bigint, piece int, start bigint, length int, ids binary, ids_crc32 bigint"
 

@@ -7,12 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from safetymart.llm.common import crc_of_id, read_table
+from safetymart.llm.common import crc_of_id, read_table, stored
 from safetymart.llm.decontaminate import find_leaks
 from safetymart.llm.exact_dedup import duplicate_groups
 from safetymart.llm.langid import fit, predict
 from safetymart.llm.minhash import near_duplicates
 from safetymart.llm.packing import pack
+from safetymart.llm.ppm import score_texts
+from safetymart.llm.sharding import assign_shards
+from safetymart.llm.warc import audit, record_digests, warc_records
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -37,6 +40,11 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in 40 shards of equally many rows, equal texts together."""
+    return assign_shards(_documents(spark, sf_dir), shards=40)
+
+
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents as sequences of at most 2,048 tokens."""
     return pack(_documents(spark, sf_dir), size=2048, with_ids=False).drop("ids")
@@ -47,6 +55,19 @@ def op5_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_documents(spark, sf_dir), width=3, percent=85)
 
 
+def op6_warc_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Differences between archives of all pages and a replica with planted faults.
+
+    The replica lost the records whose digest starts with ``00`` or ``01``, and
+    those with ``02`` to ``05`` were altered.
+    """
+    records = record_digests(warc_records(read_table(spark, sf_dir, "pages")))
+    first = F.left("digest", F.lit(2))
+    altered = F.when(first <= "05", F.sha2("digest", 256)).otherwise(F.col("digest"))
+    replica = records.filter(first > "01").withColumn("digest", altered)
+    return audit(stored(records, "records"), stored(replica, "replica"))
+
+
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The language of every document, learnt from four of five folds."""
     docs = _documents(spark, sf_dir, "lang")
@@ -58,6 +79,13 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """log10 probabilities of all documents, learnt from nine of ten folds."""
+    held_out = crc_of_id(F.col("doc_id")) % 10 == 0
+    docs = _documents(spark, sf_dir).withColumn("held_out", held_out)
+    return score_texts(docs, "held_out")
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """For every document the row of equal text that stays."""
     return duplicate_groups(_documents(spark, sf_dir))
@@ -67,9 +95,12 @@ QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         op1_decontamination,
+        op2_sharding,
         op3_packing,
         op5_minhash,
+        op6_warc_audit,
         op7_language_id,
+        op8_lm_scoring,
         op10_exact_dedup,
     )
 }
@@ -111,6 +142,27 @@ named AS (
 SELECT doc_id, len(w) AS n_words, coalesce(hit.n, 0) AS n_hit, coalesce(named.n, 0) AS n_items,
   sha256(coalesce(ids, '')) AS items_sha256, coalesce(hit.n, 0) > 0 AS contaminated
 FROM docs LEFT JOIN hit USING (doc_id) LEFT JOIN named USING (doc_id)
+""",
+    "op6_warc_audit": """
+WITH pages_ AS (
+  SELECT page_id, page_id // 1000 AS archive,
+    'WARC/1.1' || chr(13) || chr(10) || 'WARC-Type: resource' || chr(13) || chr(10)
+    || 'WARC-Record-ID: <urn:page:' || page_id || '>' || chr(13) || chr(10)
+    || 'WARC-Target-URI: ' || coalesce(url, '') || chr(13) || chr(10)
+    || 'Content-Length: ' || strlen(coalesce(html, '')) || chr(13) || chr(10) || chr(13) || chr(10)
+    || coalesce(html, '') || chr(13) || chr(10) || chr(13) || chr(10) AS record
+  FROM pages
+),
+records AS (
+  SELECT archive, strlen(record) AS length, sha256(record) AS digest,
+    sum(strlen(record)) OVER (PARTITION BY archive ORDER BY page_id, record) - strlen(record) AS start
+  FROM pages_
+)
+SELECT archive, CAST(start AS BIGINT) AS "offset", length AS left_length,
+  CASE WHEN digest > '02' THEN length END AS right_length, digest AS left_digest,
+  CASE WHEN digest > '02' THEN sha256(digest) END AS right_digest,
+  CASE WHEN digest > '02' THEN 'changed' ELSE 'missing' END AS status
+FROM records WHERE digest < '06'
 """,
     "op10_exact_dedup": r"""
 WITH rows AS (

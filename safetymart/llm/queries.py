@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from safetymart.llm.common import crc_of_id, read_table, stored
 from safetymart.llm.decontaminate import find_leaks
 from safetymart.llm.exact_dedup import duplicate_groups
+from safetymart.llm.html_extract import extract_text
 from safetymart.llm.langid import fit, predict
 from safetymart.llm.minhash import near_duplicates
 from safetymart.llm.packing import pack
@@ -86,6 +87,15 @@ def op8_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_texts(docs, "held_out")
 
 
+def op9_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    pages = read_table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    text = F.col("main_text")
+    return extract_text(pages).select(
+        "page_id", "url", text.alias("text"), F.char_length(text).cast("long").alias("n_chars")
+    )
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """For every document the row of equal text that stays."""
     return duplicate_groups(_documents(spark, sf_dir))
@@ -101,6 +111,7 @@ QUERIES: dict[str, Query] = {
         op6_warc_audit,
         op7_language_id,
         op8_lm_scoring,
+        op9_html_extraction,
         op10_exact_dedup,
     )
 }

@@ -16,6 +16,7 @@ from safetymart.llm.minhash import near_duplicates
 from safetymart.llm.packing import pack
 from safetymart.llm.ppm import score_texts
 from safetymart.llm.sharding import assign_shards
+from safetymart.llm.suffix_dedup import remove_repeats
 from safetymart.llm.warc import audit, record_digests, warc_records
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -51,6 +52,18 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(_documents(spark, sf_dir), size=2048, with_ids=False).drop("ids")
 
 
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without 400-byte strings that stand anywhere else too."""
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    return remove_repeats(_documents(spark, sf_dir)).select(
+        "doc_id",
+        "n_bytes",
+        removed.alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def op5_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents whose 3-word shingles agree in 85 of 100 or more."""
     return near_duplicates(_documents(spark, sf_dir), width=3, percent=85)
@@ -107,6 +120,7 @@ QUERIES: dict[str, Query] = {
         op1_decontamination,
         op2_sharding,
         op3_packing,
+        op4_suffix_dedup,
         op5_minhash,
         op6_warc_audit,
         op7_language_id,

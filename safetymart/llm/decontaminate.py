@@ -304,8 +304,7 @@ def remove_leaks(
     """
     leak = unused(docs, "leak")
     found = find_leaks(docs, items, text_col, into=leak, **names)
-    share = F.col(f"{leak}.n_hit") / F.col(f"{leak}.n_words")
-    kept = found.filter(F.coalesce(share, F.lit(0.0)) <= max_coverage)
+    kept = found.filter(F.col(f"{leak}.n_hit") <= max_coverage * F.col(f"{leak}.n_words"))
     raw = F.encode(F.col(text_col), "UTF-8")
     spans = F.col(f"{leak}.spans")
     # The kept pieces lie between the end of a span and the start of the next.

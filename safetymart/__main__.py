@@ -12,6 +12,7 @@ from safetymart import rules as R
 from safetymart.plans.gold import run_gold
 from safetymart.plans.silver import run_silver
 from safetymart.session import build_session
+from safetymart.sources.layout import as_day
 from safetymart.sources.bronze import land_bronze, read_array_feed, read_pages
 from safetymart.sources.tables import read_silver
 
@@ -51,6 +52,7 @@ def _parser() -> argparse.ArgumentParser:
 
 def main(argv: list[str] | None = None) -> None:
     args = _parser().parse_args(argv)
+    args.date = as_day(args.date)  # once, also for a run over midnight
     spark = build_session()
     if args.command == "land":
         read = read_pages if args.shape == "pages" else read_array_feed
@@ -71,7 +73,7 @@ def main(argv: list[str] | None = None) -> None:
         print(f"{run.row_count} rows in {run.path}")
         for title, stats in run.summary(spark).items():
             print(title)
-            stats.show(truncate=False)
+            stats.show(stats.count(), truncate=False)
     if args.command in ("gold", "all"):
         silver = read_silver(spark, args.silver, args.date, as_of=args.as_of)
         for row in run_gold(spark, silver, args.gold, args.on_failure):

@@ -107,7 +107,7 @@ def agg_recalls_by_year(fct: DataFrame, weight: str | None = None) -> DataFrame:
         "classification",
         "source_agency",
         weight=weight,
-    ).orderBy("recall_year", "classification")
+    )
 
 
 def agg_contaminants_by_year(fct: DataFrame, weight: str | None = None) -> DataFrame:
@@ -117,9 +117,7 @@ def agg_contaminants_by_year(fct: DataFrame, weight: str | None = None) -> DataF
         "contamination_category",
         weight=weight,
     )
-    return add_share(counts, "recall_year", "recall_count", "pct_of_year").orderBy(
-        "recall_year", "contamination_category"
-    )
+    return add_share(counts, "recall_year", "recall_count", "pct_of_year")
 
 
 def agg_class1_by_contaminant(fct: DataFrame, weight: str | None = None) -> DataFrame:
@@ -132,7 +130,7 @@ def agg_class1_by_contaminant(fct: DataFrame, weight: str | None = None) -> Data
         "contamination_category",
         "source_agency",
         weight=weight,
-    ).orderBy("recall_year", F.desc("recall_count"))
+    )
 
 
 def agg_recalls_by_state(fct: DataFrame) -> DataFrame:
@@ -151,5 +149,4 @@ def agg_recalls_by_state(fct: DataFrame) -> DataFrame:
                 "class_1_count"
             ),
         )
-        .orderBy(F.desc("recall_count"))
     )

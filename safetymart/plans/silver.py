@@ -20,6 +20,7 @@ from safetymart.operators.quality import feed_profile
 from safetymart.schemas import SILVER_COLUMNS, UNIFIED_COLUMNS
 from safetymart.session import sized_shuffles
 from safetymart.sources.bronze import malformed, scan_bronze, well_formed
+from safetymart.sources.layout import as_day, day_dir, replace_dir
 from safetymart.sources.tables import write_silver
 
 # Decides between versions of one notice that have the same dates. All columns
@@ -99,6 +100,7 @@ def run_silver(
     check_feeds: bool = True,
     require_fields: bool = False,
     quarantine: str | None = None,
+    max_malformed: int | None = None,
 ) -> SilverRun:
     """Read one bronze day, write the silver day, report.
 
@@ -107,12 +109,15 @@ def run_silver(
     pass of its own, and not a metric observed during the write, because a map
     task that is run again after a lost executor would be counted twice.
     Feeds below ``min_rows`` stop the run, and with ``require_fields`` so do
-    nulls in required fields. Malformed lines go to ``quarantine`` when it is
-    given and are left out of silver.
+    nulls in required fields. Malformed lines are left out of silver and go to
+    the day's folder below ``quarantine`` when it is given, with or without checks;
+    more than ``max_malformed`` of them in a feed (default: any number) stop the run.
+    ``day`` is resolved once, for reading and writing.
     """
+    day = as_day(day)
     scans = {feed: scan_bronze(spark, bronze, feed, day, as_of) for feed in R.MIN_ROWS}
     profile: list = []
-    if check_feeds or min_rows or require_fields:
+    if check_feeds or min_rows or require_fields or max_malformed is not None:
         profiles = [
             feed_profile(scan, feed, R.REQUIRED_FIELDS[feed])
             for feed, scan in scans.items()
@@ -126,11 +131,19 @@ def run_silver(
             f"{r['feed']}: {r['missing']} rows without {r['field']}"
             for r in profile
             if require_fields and r["missing"]
+        ] + [
+            f"{r['feed']}: {r['malformed']} malformed lines"
+            for r in profile
+            if max_malformed is not None and r["malformed"] > max_malformed
         ]
         if problems:
             raise FeedError("; ".join(sorted(set(problems))))
-        for feed in {r["feed"] for r in profile if r["malformed"] and quarantine}:
-            malformed(scans[feed]).write.mode("overwrite").json(f"{quarantine}/{feed}")
+    clean = {r["feed"] for r in profile if not r["malformed"]}
+    for feed, scan in scans.items() if quarantine else ():
+        if feed not in clean:
+            lines = malformed(scan).select("line")
+            target = day_dir(f"{quarantine.rstrip('/')}/{feed}", day)
+            replace_dir(spark, target, lambda path, lines=lines: lines.write.json(path))
     unified = unify(well_formed(scans["fda"]), well_formed(scans["fsis"]))
     with sized_shuffles(unified):
         path = write_silver(enrich_notices(latest_notices(unified)), silver, day)

@@ -9,10 +9,8 @@ from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
-# Bytes that one shuffle partition should hold, and the most partitions: each
-# adds a block to every map task's output, so that large inputs take larger ones.
+# Bytes that one shuffle partition should hold.
 PARTITION_BYTES = 256 * 1024**2
-MOST_PARTITIONS = 50_000
 
 
 def build_session(app: str = "safetymart", **conf: str) -> SparkSession:
@@ -55,7 +53,7 @@ def settings(spark: SparkSession, conf: dict[str, str]) -> Iterator[None]:
 
 def partitions_for(size: int, configured: int) -> int:
     """Shuffle partitions for so many bytes, never fewer than configured."""
-    return max(configured, min(-(-size // PARTITION_BYTES), MOST_PARTITIONS))
+    return max(configured, -(-size // PARTITION_BYTES))
 
 
 @contextmanager

@@ -13,6 +13,7 @@ from safetymart.sources.layout import (
     MissingFeedError,
     as_day,
     day_dir,
+    empty_files,
     feed_dir,
     list_days,
     replace_dir,
@@ -30,10 +31,15 @@ def _elements(records: Column) -> Column:
 def page_records(pages: DataFrame, text_col: str = RECORD) -> DataFrame:
     """Records of page envelopes, from the ``results`` array of each page.
 
-    Every record stays the JSON text it was, whatever its fields. A page
-    without ``results`` gives no records; text that is not JSON fails the job.
+    A record's JSON text is kept but for the form of its numbers (``1.10`` becomes
+    ``1.1``); what follows the end of the page's value is passed over. A page
+    without ``results`` gives no records; blank text, or text that is not JSON,
+    fails the job.
     """
-    envelope = F.from_json(text_col, "results array<string>", {"mode": "FAILFAST"})
+    text = F.col(text_col)
+    blank = F.coalesce(text, F.lit("")).rlike(r"\A\s*\z")
+    checked = F.when(blank, F.raise_error(F.lit("empty response, expected JSON"))).otherwise(text)
+    envelope = F.from_json(checked, "results array<string>", {"mode": "FAILFAST"})
     return pages.select(_elements(envelope["results"]))
 
 
@@ -51,8 +57,12 @@ def read_documents(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """One row per file, its whole text: API responses as they were saved.
 
     A response is one JSON value and cannot be split, so that each file is read
-    by one task, many files by many tasks. Empty files are skipped.
+    by one task, many files by many tasks. An empty file stops the read: it would
+    be no row, and landing it would replace a day by nothing.
     """
+    empty = empty_files(spark, path)
+    if empty:
+        raise ValueError(f"empty responses: {empty}")
     return spark.read.text(path, wholetext=True)
 
 
@@ -108,7 +118,8 @@ def scan_bronze(
     """One day of a feed: its fields and the text of any malformed line.
 
     Only the folder of that day is listed and read. A line that is not valid
-    JSON comes as nulls with its text in ``_corrupt_record``.
+    JSON comes as nulls with its text in ``_corrupt_record``. A line that holds an
+    array gives a row for each of its records; blank lines give none.
     """
     folder = feed_dir(base, feed)
     fields = schema or FEEDS[feed]
@@ -145,13 +156,17 @@ def scan_bronze_days(
     )
 
 
+def _parsed(scan: DataFrame) -> Column:
+    """Always true; needs a field, as Spark does not read corrupt lines' texts alone."""
+    field = next(c for c in scan.columns if c != CORRUPT)
+    return F.length(F.coalesce(F.col(field).cast("string"), F.lit(""))) >= 0
+
+
 def well_formed(scan: DataFrame) -> DataFrame:
-    return scan.filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
+    return scan.filter(F.col(CORRUPT).isNull() & _parsed(scan)).drop(CORRUPT)
 
 
 def malformed(scan: DataFrame) -> DataFrame:
-    """Lines that are not valid JSON, for a quarantine folder.
-
-    The fields come along because Spark does not read the text of such lines alone.
-    """
-    return scan.filter(F.col(CORRUPT).isNotNull()).withColumnRenamed(CORRUPT, "line")
+    """Lines that are not valid JSON, for a quarantine folder."""
+    lines = scan.filter(F.col(CORRUPT).isNotNull() & _parsed(scan))
+    return lines.withColumnRenamed(CORRUPT, "line")

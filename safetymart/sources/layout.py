@@ -55,6 +55,19 @@ def delete_dir(spark: SparkSession, path: str) -> None:
     fs.delete(hadoop_path, True)
 
 
+def empty_files(spark: SparkSession, path: str | list[str]) -> list[str]:
+    """Files without a byte at or directly below ``path``; Spark's own marks aside."""
+    found = []
+    for one in [path] if isinstance(path, str) else path:
+        fs, pattern = _fs(spark, one)
+        for top in fs.globStatus(pattern) or []:
+            for s in fs.listStatus(top.getPath()) if top.isDirectory() else [top]:
+                hidden = s.getPath().getName().startswith(("_", "."))
+                if s.isFile() and s.getLen() == 0 and not hidden:
+                    found.append(s.getPath().toString())
+    return found
+
+
 def list_days(spark: SparkSession, folder: str) -> list[date]:
     """Days present below ``folder``, oldest first, from a listing of folders only."""
     fs, pattern = _fs(spark, f"{folder}/year=*/month=*/day=*")
@@ -98,10 +111,10 @@ def replace_dir(spark: SparkSession, path: str, write: Callable[[str], None]) ->
     fresh, retired = hidden_beside(path)
     try:
         write(fresh)
+        swap_in(spark, fresh, path, retired)
     except BaseException:
         delete_dir(spark, fresh)
         raise
-    swap_in(spark, fresh, path, retired)
 
 
 def swap_in(spark: SparkSession, fresh: str, path: str, retired: str) -> None:

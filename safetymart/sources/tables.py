@@ -13,6 +13,11 @@ from safetymart.sources.layout import day_dir, replace_dir, resolve_day, silver_
 
 FACT_MONTH = "recall_month_start"
 
+# Partitions of the rebalance by month, whatever the session's number: far more than
+# there are months, and few enough (2,000) for map tasks to report the size of each,
+# which adaptive execution needs to see that one month is large.
+MONTH_PARTITIONS = 1_000
+
 # Without these a rebalance is a plain hash shuffle: one task per month.
 _SPLIT_LARGE_MONTHS = {
     "spark.sql.adaptive.enabled": "true",
@@ -54,12 +59,16 @@ def load_current(
     """Make ``table`` hold exactly the silver day; returns its number of rows.
 
     ``copy=False`` lets the table point at the day's folder instead, which
-    moves no data: at a large scale that is the one to use.
+    moves no data: at a large scale that is the one to use. A managed table of that
+    name holds data of its own and is not dropped for it.
     """
     if copy:
         spark.read.parquet(silver_day).write.mode("overwrite").saveAsTable(table)
     else:
-        spark.sql(f"DROP TABLE IF EXISTS {table}")
+        if spark.catalog.tableExists(table):
+            if spark.catalog.getTable(table).tableType == "MANAGED":
+                raise ValueError(f"{table} is a managed table; load it with copy=True")
+            spark.sql(f"DROP TABLE {table}")
         spark.catalog.createTable(table, path=silver_day, source="parquet")
     spark.catalog.refreshTable(table)
     return spark.table(table).count()
@@ -83,7 +92,7 @@ def by_month(fct: DataFrame) -> DataFrame:
     """
     return (
         fct.withColumn(FACT_MONTH, F.trunc("recall_date", "MM"))
-        .hint("rebalance", FACT_MONTH)
+        .hint("rebalance", MONTH_PARTITIONS, FACT_MONTH)
         .sortWithinPartitions(FACT_MONTH, "classification", "state")
     )
 

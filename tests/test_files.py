@@ -397,6 +397,51 @@ def test_a_month_with_most_rows_is_split(spark, fact):
     assert tables.read_fact(spark, path).count() == 6000
 
 
+def test_a_month_is_split_above_two_thousand_shuffle_partitions(spark, fact):
+    df, path = fact
+    small = {
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k",
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": "1k",
+        "spark.sql.shuffle.partitions": "2500",
+    }
+    with settings(spark, small):
+        tables.write_fact(df.repartition(8), path)
+    assert len(list(Path(path).glob("recall_month_start=2024-03-01/*.parquet"))) > 2
+    assert tables.read_fact(spark, path).count() == 6000
+
+
+def test_a_bronze_day_is_counted(spark, base):
+    folder = _day(base, "fda")
+    lines = ['{"recall_number": "a", "state": 1.10}', "{broken", '[{"recall_number": "b"}, {}]', ""]
+    folder.mkdir(parents=True)
+    (folder / "data.json").write_text("\n".join(lines))
+    scan = bronze.scan_bronze(spark, base, "fda", DAY)
+    assert bronze.well_formed(scan).count() == 3
+    assert bronze.malformed(scan).count() == 1
+    assert [r["line"] for r in bronze.malformed(scan).select("line").collect()] == ["{broken"]
+    states = [r["state"] for r in bronze.well_formed(scan).collect()]
+    assert states == ["1.10", None, None]
+
+
+@pytest.mark.parametrize("text", ["", " \n"])
+def test_an_empty_response_fails(spark, base, tmp_path, text):
+    response = tmp_path / "response"
+    response.mkdir()
+    (response / "one.json").write_text(text)
+    for read in (bronze.read_pages, bronze.read_array_feed):
+        with pytest.raises(Exception, match="(?i)empty|JSON"):
+            read(spark, str(response)).collect()
+
+
+def test_quarantine_is_by_day_and_needs_no_checks(spark, landed):
+    _write(_day(landed, "fsis"), "not json", name="part-extra.json")
+    for day in (DAY, "2024-04-20"):
+        run_silver(spark, landed, landed, day, as_of=True, check_feeds=False, quarantine=f"{landed}/bad")
+    days = sorted(str(p.relative_to(landed)) for p in Path(landed).glob("bad/fsis/*/*/*"))
+    assert days == [f"bad/fsis/year=2024/month=04/day={d}" for d in (DAY[-2:], "20")]
+    assert spark.read.json(f"{landed}/{days[0]}").count() == 1
+
+
 def test_date_range_prunes_months(spark, fact):
     df, path = fact
     tables.write_fact(df, path)

@@ -57,7 +57,7 @@ def bronze_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     bronze.land_bronze(raw.filter("classification = 'Class II'"), base, "fda", _EARLIER)
     bronze.land_bronze(raw, base, "fda", _DAY)
     days = bronze.scan_bronze_days(spark, base, "fda", _EARLIER, _DAY)
-    return days.groupBy("ingest_date").agg(F.count("classification").alias("row_count"))
+    return days.groupBy("ingest_date").agg(F.count(F.lit(1)).alias("row_count"))
 
 
 def raw_table(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -194,6 +194,17 @@ def test_near_duplicates(spark, texts, monkeypatch, most_rounds):
         assert got[i][1:] == (len(s), root(i), root(i) == i)
 
 
+def test_only_classes_that_none_can_be_linked_with_are_left_out(spark):
+    own = {b"whole": 0, b"near": 5, b"bound": 15, b"past": 16, b"far": 50}
+    rows = []
+    for i, (key, u) in enumerate(own.items()):
+        members = np.array([*range(100 - u), *range(1_000 * (i + 1), 1_000 * (i + 1) + u)], np.uint64)
+        rows.append((key, len(members), members.tobytes()))
+    sets = spark.createDataFrame(rows, "set_key binary, n bigint, members binary")
+    left = minhash._linkable(sets.select("set_key", "n"), sets.select("set_key", "members"), 85)
+    assert {bytes(r["set_key"]) for r in left.collect()} == {b"whole", b"near", b"bound"}
+
+
 def test_components_of_a_path(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(0, 60)] + [(70, 71)], "a long, b long")
     got = dict(map(tuple, components(edges).collect()))

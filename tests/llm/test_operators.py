@@ -170,10 +170,22 @@ def test_repeated_strings(spark, texts, monkeypatch, most):
     assert got == dict(enumerate(repeats(own, suffix_dedup.LENGTH)))
 
 
-@pytest.mark.parametrize("most_rounds", [8, 0])
-def test_near_duplicates(spark, texts, monkeypatch, most_rounds):
-    monkeypatch.setattr(minhash, "PAIRS_PER_DOC", 0 if most_rounds else 8)
-    monkeypatch.setattr(minhash, "MOST_ROUNDS", most_rounds)
+def edited(rng, n):
+    """Copies of one text with ever more of its words replaced."""
+    base = [f"w{i}" for i in range(150)]
+    for i in range(n):
+        words = list(base)
+        for at in rng.choice(150, i % 12, replace=False):
+            words[at] = f"x{rng.integers(5)}"
+        yield " ".join(words)
+
+
+@pytest.mark.parametrize("pairs_per_doc, block_rows", [(0, 4096), (8, 4096), (10**6, 7)])
+def test_near_duplicates(spark, texts, monkeypatch, pairs_per_doc, block_rows):
+    """By pivots, by whole postings and by postings cut into blocks."""
+    monkeypatch.setattr(minhash, "PAIRS_PER_DOC", pairs_per_doc)
+    monkeypatch.setattr(minhash, "BLOCK_ROWS", block_rows)
+    texts = [*texts, *edited(np.random.default_rng(3), 60)]
     sets = []
     for t in texts:
         w = (t or "").encode().translate(LOWER).split()
@@ -194,17 +206,6 @@ def test_near_duplicates(spark, texts, monkeypatch, most_rounds):
         assert got[i][1:] == (len(s), root(i), root(i) == i)
 
 
-def test_only_classes_that_none_can_be_linked_with_are_left_out(spark):
-    own = {b"whole": 0, b"near": 5, b"bound": 15, b"past": 16, b"far": 50}
-    rows = []
-    for i, (key, u) in enumerate(own.items()):
-        members = np.array([*range(100 - u), *range(1_000 * (i + 1), 1_000 * (i + 1) + u)], np.uint64)
-        rows.append((key, len(members), members.tobytes()))
-    sets = spark.createDataFrame(rows, "set_key binary, n bigint, members binary")
-    left = minhash._linkable(sets.select("set_key", "n"), sets.select("set_key", "members"), 85)
-    assert {bytes(r["set_key"]) for r in left.collect()} == {b"whole", b"near", b"bound"}
-
-
 def test_components_of_a_path(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(0, 60)] + [(70, 71)], "a long, b long")
     got = dict(map(tuple, components(edges).collect()))

@@ -21,7 +21,11 @@ INLINE = frozenset(
     "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q "
     "s samp small span strike strong sub sup time tt u var wbr".split()
 )
-UNSEEN = "head|iframe|noscript|object|script|style|svg|template|title|textarea|select"
+# Not shown. Without an end tag, the first hold the rest of the page, as in browsers;
+# of the others the start tag alone is left out. ``head`` is no more than its tags:
+# all it may hold is void or in these lists, and anything else ends it.
+RAW_TEXT = "script|style|textarea|title"
+UNSEEN = "iframe|noscript|object|select|svg|template"
 
 # Words of tags, classes and ids that the training labels are made from.
 BOILERPLATE = (
@@ -31,11 +35,20 @@ BOILERPLATE = (
 ).split()
 CONTENT = "article main content post entry story body text".split()
 
+_ATTRIBUTES = r"(?:[^>\"']|\"[^\"]*\"|'[^']*')*"
 _TOKEN = re.compile(
-    rf"<!--.*?(?:-->|\Z)|<({UNSEEN})\b[^>]*>(?:.*?</\1\s*>|.*)|<[!?][^>]*>"
-    r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>",
+    rf"<!--.*?(?:-->|\Z)|<({RAW_TEXT})(?![^\s/>])[^>]*>(?:.*?</\1(?![^\s/>])[^>]*>|.*)"
+    rf"|<({UNSEEN})(?![^\s/>])({_ATTRIBUTES}|[^>]*)>|<[!?][^>]*>"
+    rf"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)({_ATTRIBUTES})>",
     re.DOTALL | re.IGNORECASE,
 )
+_ENDS = {
+    name: re.compile(
+        rf"<!--.*?(?:-->|\Z)|<(/?){name}(?![^\s/>])({_ATTRIBUTES}|[^>]*)>",
+        re.DOTALL | re.IGNORECASE,
+    )
+    for name in UNSEEN.split("|")
+}
 _NAMED = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+))", re.I)
 _PARTS = re.compile(r"[a-z]+")
 
@@ -67,12 +80,32 @@ def _name(tag: str, attributes: str) -> str:
     return " ".join([tag, *words])
 
 
+def _ends(page: str, name: str) -> dict[int, int]:
+    """Where the elements of this name start, and where those with an end tag end.
+
+    An end tag belongs to the last element that is open; ``<svg/>`` is empty.
+    """
+    ends: dict[int, int] = {}
+    opened: list[int] = []
+    for tag in _ENDS[name].finditer(page):
+        if tag[1] is None:
+            continue
+        if tag[1]:
+            if opened:
+                ends[opened.pop()] = tag.end()
+        elif name != "svg" or not tag[2].endswith("/"):
+            opened.append(tag.start())
+    return ends
+
+
 def page_blocks(page: str) -> list[Block]:
     """All blocks with text, in page order; what browsers do not show is left out.
 
     Tags need not be balanced: a closing tag ends all elements in its element, one
-    that nothing opens is passed over, and a paragraph ends where a block begins.
+    that nothing opens is passed over, a paragraph ends where a block begins, and
+    an unseen element without an end tag hides nothing but its start tag.
     """
+    ends: dict[str, dict[int, int]] = {}
     blocks: list[Block] = []
     stack: list[tuple[str, str]] = []
     links = 0
@@ -91,20 +124,25 @@ def page_blocks(page: str) -> list[Block]:
         if links:
             current.linked += len(shown)
 
-    for token in _TOKEN.finditer(page):
+    while token := _TOKEN.search(page, at):
         add(page[at : token.start()])
         at = token.end()
-        if token[3] is None:
+        if token[5] is None:
             # Comments and unseen elements: inline ones do not end a block.
-            current = current if token[1] is None else None
+            current = current if token[1] is None and token[2] is None else None
+            if token[2] is not None:
+                unseen = token[2].lower()
+                if unseen not in ends:
+                    ends[unseen] = _ends(page, unseen)
+                at = ends[unseen].get(token.start(), at)
             continue
-        tag, closing = token[3].lower(), bool(token[2])
+        tag, closing = token[5].lower(), bool(token[4])
         if tag == "br":
             add(" ")
             continue
         if tag not in INLINE:
             current = None
-        if tag in VOID:
+        if tag in VOID or tag == "head":
             continue
         if closing:
             place = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == tag), -1)
@@ -115,7 +153,7 @@ def page_blocks(page: str) -> list[Block]:
                 place = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == "p"), -1)
                 if place >= 0:
                     del stack[place:]
-            stack.append((tag, _name(tag, token[4])))
+            stack.append((tag, _name(tag, token[6])))
         if tag == "a" or links:
             links = sum(name == "a" for name, _ in stack)
     add(page[at:])

@@ -347,3 +347,33 @@ def test_pipeline(spark, texts, tmp_path):
     assert set(left["near"]) < set(left["exact"])
     assert 30 not in left["decontaminate"] and len(left["decontaminate"]) >= len(left["near"]) - 1
     assert {r["doc_id"] for r in docs.collect()} == set(left["decontaminate"])
+
+
+def blocks_of(page):
+    return [b.text for b in html_extract.page_blocks(page)]
+
+
+@pytest.mark.parametrize(
+    "page, seen",
+    [
+        ("<head><title>x</title><body><article>A<p>B</article>", ["A", "B"]),
+        ("<head><title>x</title><p>A</p><p>B", ["A", "B"]),
+        ("<svg a=b /><article>A", ["A"]),
+        ("<svg/><p>A</p><svg><text>no</text></svg><p>B", ["A", "B"]),
+        ("<svg><svg></svg><title/>no</svg>A", ["A"]),
+        ("<title-bar>A</title-bar><select-one>B</select-one>", ["A", "B"]),
+        ("<iframe srcdoc='<p>no</p>'></iframe>A<!-- <object> -->B<object>no</object>", ["AB"]),
+        *((f"A<{e}><p>B</p><{e} id=x>no</{e}><p>C", ["A", "B", "C"]) for e in html_extract.UNSEEN.split("|")),
+        *((f"A<{e}>no</{e} ><p>B<{e}>no<p>no", ["A", "B"]) for e in html_extract.RAW_TEXT.split("|")),
+    ],
+)
+def test_unseen_elements_hide_nothing_else(page, seen):
+    assert [t for b in blocks_of(page) for t in b.split()] == seen
+
+
+def test_html_without_end_tags(spark):
+    body = [f"Paragraph number {i} of this story tells and tells more." for i in range(6)]
+    article = "".join(f"<p>{t}" for t in body)
+    html = f"<html><head><title>T</title><body><nav><svg/><a href=/>Home</a></nav><article>{article}</article>"
+    got = html_extract.extract_text(pages(spark, [(i, "u", html) for i in range(30)])).collect()
+    assert {r["main_text"] for r in got} == {" ".join(body)}

@@ -388,14 +388,17 @@ def varied(pages: list[list[Block]], rng: np.random.Generator) -> list[tuple[lis
 
 
 def fit(pages: DataFrame, n_pages: int = TRAINING_PAGES, steps: int = STEPS) -> Labeller:
-    """A labeller from ``n_pages`` pages, those with the smallest hash of their html.
+    """A labeller from ``n_pages`` distinct pages, those with the smallest hash of their html.
 
     No page is labelled by hand: ``seed_labels`` reads labels off the words of the
     elements around a block, and ``varied`` adds other layouts. The network learns
     to do so from hashed paths and words, and from what stands around a block.
     """
-    hashed = F.xxhash64("html")
-    rows = pages.filter("html IS NOT NULL").orderBy(hashed).limit(n_pages).select("html").collect()
+    hashed = pages.filter("html IS NOT NULL").select(F.xxhash64("html").alias("hash"), "html")
+    # Of copies only the hashes are shuffled.
+    least = [r["hash"] for r in hashed.select("hash").distinct().orderBy("hash").limit(n_pages).collect()]
+    chosen = hashed.filter(F.col("hash").isin(least)).groupBy("hash").agg(F.min("html").alias("html"))
+    rows = sorted(chosen.collect(), key=lambda r: r["hash"])
     blocks = [b for b in (page_blocks(r["html"]) for r in rows) if b]
     model = Labeller()
     if blocks:

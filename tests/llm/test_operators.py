@@ -377,3 +377,12 @@ def test_html_without_end_tags(spark):
     html = f"<html><head><title>T</title><body><nav><svg/><a href=/>Home</a></nav><article>{article}</article>"
     got = html_extract.extract_text(pages(spark, [(i, "u", html) for i in range(30)])).collect()
     assert {r["main_text"] for r in got} == {" ".join(body)}
+
+
+def test_labeller_learns_from_distinct_pages(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(html_extract, "varied", lambda pages, rng: seen.extend(pages) or [])
+    monkeypatch.setattr(html_extract.Labeller, "train", lambda *args: None)
+    rows = [(i, "u", f"<p>page {i % 5}") for i in range(500)]
+    html_extract.fit(pages(spark, rows), n_pages=4)
+    assert len({b[0].text for b in seen}) == len(seen) == 4

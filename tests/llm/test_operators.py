@@ -1,6 +1,7 @@
 """Each operator against a plain version, on small tables with awkward rows."""
 
 import hashlib
+import re
 import zlib
 
 import numpy as np
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 import corpus_pipeline
-from safetymart.llm import decontaminate, exact_dedup, html_extract, langid, minhash
+from safetymart.llm import common, decontaminate, exact_dedup, html_extract, langid, minhash
 from safetymart.llm import packing, ppm, sharding, suffix_dedup, warc
 from safetymart.llm.components import components
 
@@ -386,3 +387,86 @@ def test_labeller_learns_from_distinct_pages(spark, monkeypatch):
     rows = [(i, "u", f"<p>page {i % 5}") for i in range(500)]
     html_extract.fit(pages(spark, rows), n_pages=4)
     assert len({b[0].text for b in seen}) == len(seen) == 4
+
+
+def roots(n, linked):
+    """Each of ``n`` rows' first row among those it is linked with, over any number of links."""
+    parent = list(range(n))
+
+    def root(i):
+        return i if parent[i] == i else root(parent[i])
+
+    for i in range(n):
+        for j in range(i):
+            if linked(i, j):
+                x, y = sorted((root(i), root(j)))
+                parent[y] = x
+    return [root(i) for i in range(n)]
+
+
+def plain_stages(rows, items):
+    """The rows (id, text) after each stage; ids may be null or used again."""
+    yield "language", (rows := [r for r in rows if r[1] and any(map(str.isalpha, r[1]))])
+    by_id = lambda r: (r[0] is None, r[0] or 0)
+    best = {}
+    for r in rows:
+        content = r[1].translate({ord(c): None for c in " \t\n\x0b\x0c\r"})
+        rank = (-len(r[1]), by_id(r))
+        if content not in best or rank < best[content][0]:
+            best[content] = (rank, r)
+    yield "exact", (rows := [r for _, r in best.values()])
+    sets = []
+    for _, text in rows:
+        w = text.encode().translate(LOWER).split()
+        sets.append({tuple(w[k : k + 5]) for k in range(len(w) - 4)} if len(w) > 4 else {tuple(w)} - {()})
+    both = lambda a, b: len(a & b)
+    component = roots(
+        len(rows),
+        lambda i, j: sets[i] and sets[j] and 100 * both(sets[i], sets[j]) >= 80 * len(sets[i] | sets[j]),
+    )
+    groups = {}
+    for r, c in zip(rows, component):
+        groups.setdefault(c, []).append(r)
+    yield "near", (rows := [min(g, key=by_id) for g in groups.values()])
+    words = lambda t: list(re.finditer(rb"[0-9a-z\x80-\xff]+", t.encode().translate(LOWER)))
+    windows = set()
+    for item in items:
+        w = [m[0] for m in words(item)]
+        windows |= {tuple(w[p : p + 10]) for p in range(max(1, len(w) - 9))} - {()}
+    left = []
+    for i, text in rows:
+        found, raw, hit = words(text), text.encode(), set()
+        w = [m[0] for m in found]
+        for n in {len(k) for k in windows}:
+            for p in range(len(w) - n + 1):
+                hit |= set(range(p, p + n)) if tuple(w[p : p + n]) in windows else set()
+        gone = np.zeros(len(raw), bool)
+        for h in hit:
+            gone[found[h].start() : found[h + 1].start() if h + 1 in hit else found[h].end()] = True
+        if 2 * len(hit) <= len(w):
+            left.append((i, np.frombuffer(raw, np.uint8)[~gone].tobytes().decode()))
+    yield "decontaminate", left
+
+
+def run_stages(spark, rows, items, tmp_path):
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t or "")) for i, t in rows], DOCS)
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    bench.write.parquet(f"{tmp_path}/benchmark.parquet")
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        docs = common.stored(stage(spark, docs, str(tmp_path)), name)
+        yield name, [(r["doc_id"], r["text"]) for r in docs.collect()]
+
+
+def same_stages(spark, rows, items, tmp_path):
+    for (name, got), (_, want) in zip(run_stages(spark, rows, items, tmp_path), plain_stages(rows, items)):
+        assert sorted(got, key=repr) == sorted(want, key=repr), name
+
+
+def test_pipeline_rows_without_an_id_of_their_own(spark, texts, tmp_path):
+    """Null ids, one row twice, one id with two texts of which one is a dropped copy."""
+    a, b, c, d, e, f = (texts[len(ODD) + i] for i in range(16, 22))
+    rows = [(None, a), (None, b), (None, b), (1, c), (1, c), (2, d), (3, d), (3, e), (None, e), (None, f), (4, f)]
+    near_f = f.replace(f.split()[0], "zz", 1) + " end"
+    same_stages(spark, [*rows, (None, near_f), (None, None), (5, None)], [texts[-12]], tmp_path)

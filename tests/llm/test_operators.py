@@ -470,3 +470,12 @@ def test_pipeline_rows_without_an_id_of_their_own(spark, texts, tmp_path):
     rows = [(None, a), (None, b), (None, b), (1, c), (1, c), (2, d), (3, d), (3, e), (None, e), (None, f), (4, f)]
     near_f = f.replace(f.split()[0], "zz", 1) + " end"
     same_stages(spark, [*rows, (None, near_f), (None, None), (5, None)], [texts[-12]], tmp_path)
+
+
+def test_pipeline_against_plain_stages(spark, texts, tmp_path):
+    """Shingles of 5 words, at and around 80 of 100, and spans that are cut."""
+    own = [*texts, *edited(np.random.default_rng(4), 60)]
+    long = [t for t in texts if t and len(t.split()) > 120]
+    own.append(f"{long[0]} {long[-1]} {long[1]}")
+    items = [" ".join(long[1].split()[30:50]), texts[30], " ".join(long[-1].split()[:40])]
+    same_stages(spark, list(enumerate(own)), items, tmp_path)

@@ -2,16 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import heapq
+
+from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from safetymart.llm.common import ranked, stored
 
-ROUNDS = 12
-# Moves into a shard are admitted by so many hash buckets.
-BUCKETS = 1024
-
 
 def assign_shards(
     docs: DataFrame, shards: int = 40, id_col: str = "doc_id", text_col: str = "text"
@@ -19,14 +17,15 @@ def assign_shards(
     """Every document's shard and its place there; shard sizes differ by one row at most.
 
     Equal texts are linked; a null text is linked with nothing. Documents start in
-    shards by a hash. In each round the members of a group move towards the shard
-    that holds most of their neighbours and has room for them, as far as that
-    shard's quota of rows goes; unlinked documents need no neighbours and fill up
-    what is left at the end. Members of one group in one shard are alike, so the
-    rounds work on (group, shard, members) rows: at most one per shard for the
-    largest group. Only loads per shard and bucket are looked at as a whole.
-
-    A group that is larger than a quota is spread over as few shards as have room.
+    shards by a hash. Linked documents are all linked with each other, so one round
+    of propagation gives every member the label that most of its group have, and no
+    later round changes a label. Quotas of rows are then met by moving whole groups,
+    larger ones first (``plan_blocks``), which looks at the number of groups of each
+    size and label only. Unlinked documents fill up what is left at the end.
+
+    A group that is larger than a quota fills whole shards, and its rest is moved
+    like a smaller group. A group is split otherwise only where no shard has room
+    for it when its size is placed: fewer than ``shards`` groups at any input.
     Columns: id_col, size (bytes of the text plus 16), text_crc32, law (``rows``),
     shard, slot (gapless from 0), grown_shard (null). Repeated rows each have a
     place; an empty table gives none.
@@ -42,26 +41,19 @@ def assign_shards(
     rows = stored(rows, "rows")
     total = rows.count()
     quota = [total // shards + (s < total % shards) for s in range(shards)]
-    groups = rows.filter("key IS NOT NULL").groupBy("key").agg(F.count(F.lit(1)).alias("members"))
+    start = F.pmod(F.xxhash64("id"), F.lit(shards)).cast("int")
+    blocks = rows.filter("key IS NOT NULL").groupBy("key", start.alias("shard")).agg(
+        F.count(F.lit(1)).alias("n")
+    )
+    strongest = F.max(F.struct("n", F.xxhash64("key", "shard"), "shard"))["shard"]
+    groups = blocks.groupBy("key").agg(F.sum("n").alias("members"), strongest.alias("label"))
     groups = stored(groups.filter("members > 1"), "groups")
     linked = rows.join(groups.select("key"), "key").select(*rows.columns)
-    start = F.pmod(F.xxhash64("id"), F.lit(shards)).cast("int")
-    blocks = linked.groupBy("key", start.alias("shard")).agg(F.count(F.lit(1)).alias("n"))
-    blocks = _propagate(stored(blocks, "blocks"), quota)
-    placed = stored(_members(linked, blocks), "placed")
-    # Hashing may have put more linked documents into a shard than its quota.
-    if placed.groupBy("shard").count().filter(
-        F.col("count") > _of_shard(quota)
-    ).isEmpty():
-        kept, evicted = placed, None
-    else:
-        order = [F.col(c) for c in ("key", "id", "size", "text_crc32")]
-        numbered = stored(ranked(placed, ["shard"], order), "numbered")
-        kept = numbered.filter(F.col("rank") < _of_shard(quota)).drop("rank")
-        evicted = numbered.filter(F.col("rank") >= _of_shard(quota)).drop("rank", "shard")
-    loads = dict(kept.groupBy("shard").count().collect())
+    classes = groups.groupBy("members", "label").count().collect()
+    plan = plan_blocks({(r["members"], r["label"]): r["count"] for r in classes}, quota)
+    placed = stored(_members(linked, stored(_planned(groups, plan), "blocks")), "placed")
+    loads = dict(placed.groupBy("shard").count().collect())
     pool = rows.join(groups.select("key"), "key", "left_anti").select(*rows.columns)
-    pool = pool if evicted is None else pool.unionByName(evicted)
     order = [F.col(c) for c in ("id", "size", "text_crc32")]
     filled = ranked(pool.withColumn("all", F.lit(0)), ["all"], order, "place")
     ends, end = [], 0
@@ -69,8 +61,8 @@ def assign_shards(
         end += quota[s] - loads.get(s, 0)
         ends.append(end)
     shard = F.size(F.filter(F.array(*map(F.lit, ends)), lambda e: e <= F.col("place")))
-    filled = filled.withColumn("shard", shard).select(*kept.columns)
-    whole = stored(kept.unionByName(filled), "sharded")
+    filled = filled.withColumn("shard", shard).select(*placed.columns)
+    whole = stored(placed.unionByName(filled), "sharded")
     return ranked(whole, ["shard"], order, "slot").select(
         F.col("id").alias(id_col),
         "size",
@@ -82,47 +74,82 @@ def assign_shards(
     )
 
 
-def _of_shard(numbers: list[int]) -> Column:
-    return F.element_at(F.array(*(F.lit(n).cast("long") for n in numbers)), F.col("shard") + 1)
-
-
-def _propagate(blocks: DataFrame, quota: list[int]) -> DataFrame:
-    """Blocks (key, shard, n) after moving towards their groups' strongest shards."""
-    for round_no in range(ROUNDS):
-        loads = dict(blocks.groupBy("shard").agg(F.sum("n")).collect())
-        room = [q - loads.get(s, 0) for s, q in enumerate(quota)]
-        whole = W.partitionBy("key")
-        # A shard attracts a group by its members there, if it has room for any other.
-        strength = F.when(_of_shard(room) > 0, F.struct("n", F.xxhash64("key", "shard"), "shard"))
-        aimed = blocks.withColumn("best", F.max(strength).over(whole)).withColumn(
-            "target", F.col("best.shard")
-        )
-        moving = F.col("target").isNotNull() & (F.col("target") != F.col("shard"))
-        aimed = aimed.withColumn(
-            "bucket", F.pmod(F.xxhash64("key", "shard", F.lit(round_no)), F.lit(BUCKETS))
-        ).withColumn("moving", moving)
-        aimed = aimed.select("key", "shard", "n", "target", "bucket", "moving")
-        demand = aimed.filter("moving").groupBy("target", "bucket").agg(F.sum("n").alias("n"))
-        so_far = F.sum("n").over(W.partitionBy("target").orderBy("bucket"))
-        target_room = F.element_at(
-            F.array(*(F.lit(r).cast("long") for r in room)), F.col("target") + 1
-        )
-        admitted = demand.withColumn("so_far", so_far).filter(F.col("so_far") <= target_room)
-        # At most BUCKETS rows for each shard.
-        admitted = [(r["target"], r["bucket"]) for r in admitted.collect()]
-        if not admitted:
-            return blocks
-        cut: dict[int, int] = {}
-        for target, bucket in admitted:
-            cut[target] = max(cut.get(target, -1), bucket)
-        limit = F.element_at(
-            F.array(*(F.lit(cut.get(s, -1)) for s in range(len(quota)))), F.col("target") + 1
-        )
-        goes = F.col("moving") & (F.col("bucket") <= limit)
-        shard = F.when(goes, F.col("target")).otherwise(F.col("shard"))
-        moved = aimed.select("key", shard.alias("shard"), "n")
-        blocks = stored(moved.groupBy("key", "shard").agg(F.sum("n").alias("n")), "blocks")
-    return blocks
+Block = tuple[int, int, int, int, int, int]
+
+
+def plan_blocks(classes: dict[tuple[int, int], int], quota: list[int]) -> list[Block]:
+    """Where groups go: (members, label, first, end, shard, n) for ranks of a class.
+
+    ``classes`` counts groups by (members, label); a group is known by its rank in its
+    class. Sizes are placed from the largest down: a group stays in its label's shard
+    if that has room for all of it, and goes to the fullest shard that has otherwise.
+    A group above the quotas takes empty shards whole first. Groups that no shard
+    has room for are dealt out last, over the shards with most room. Each of these
+    is larger than any room left, and all fit together, so they are fewer than the shards.
+    """
+    room = list(quota)
+    plan: list[Block] = []
+    # (-size left, members, label, first, end): groups of one class not placed yet.
+    queue = [(-m, m, label, 0, n) for (m, label), n in classes.items()]
+    heapq.heapify(queue)
+    late = []
+    while queue:
+        size = -queue[0][0]
+        same = []
+        while queue and -queue[0][0] == size:
+            same.append(heapq.heappop(queue)[1:])
+        if size > max(quota):
+            for members, label, first, end in same:
+                for rank in range(first, end):
+                    left = size
+                    for s in sorted(range(len(room)), key=lambda s: (s != label, s)):
+                        if 0 < room[s] == quota[s] <= left:
+                            plan.append((members, label, rank, rank + 1, s, room[s]))
+                            left, room[s] = left - room[s], 0
+                    if left and left < size:
+                        heapq.heappush(queue, (-left, members, label, rank, rank + 1))
+                    elif left:
+                        late.append((left, members, label, rank))
+            continue
+        moving = []
+        for members, label, first, end in same:
+            stay = min(end - first, room[label] // size)
+            if stay:
+                plan.append((members, label, first, first + stay, label, size))
+                room[label] -= stay * size
+            if first + stay < end:
+                moving.append((members, label, first + stay, end))
+        fullest = sorted((s for s in range(len(room)) if room[s] >= size), key=lambda s: room[s])
+        for members, label, first, end in moving:
+            while first < end and fullest:
+                s = fullest[0]
+                go = min(end - first, room[s] // size)
+                if go:
+                    plan.append((members, label, first, first + go, s, size))
+                    room[s] -= go * size
+                    first += go
+                else:
+                    fullest.pop(0)
+            late.extend((size, members, label, rank) for rank in range(first, end))
+    for left, members, label, rank in late:
+        while left:
+            s = max(range(len(room)), key=lambda s: (room[s], s == label))
+            n = min(left, room[s])
+            plan.append((members, label, rank, rank + 1, s, n))
+            left, room[s] = left - n, room[s] - n
+    return plan
+
+
+def _planned(groups: DataFrame, plan: list[Block]) -> DataFrame:
+    """Blocks (key, shard, n) of the groups, by their ranks among those of size and label."""
+    columns = "of_members long, of_label int, first long, end long, shard int, n long"
+    ranges = groups.sparkSession.createDataFrame(plan, columns)
+    numbered = ranked(groups, ["members", "label"], [F.col("key")])
+    same = (F.col("members") == F.col("of_members")) & (F.col("label") == F.col("of_label"))
+    inside = (F.col("rank") >= F.col("first")) & (F.col("rank") < F.col("end"))
+    joined = numbered.join(F.broadcast(ranges), same & inside)
+    # A group's rest may have come to a shard that holds a part of it.
+    return joined.groupBy("key", "shard").agg(F.sum("n").alias("n"))
 
 
 def _members(linked: DataFrame, blocks: DataFrame) -> DataFrame:

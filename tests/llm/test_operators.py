@@ -479,3 +479,41 @@ def test_pipeline_against_plain_stages(spark, texts, tmp_path):
     own.append(f"{long[0]} {long[-1]} {long[1]}")
     items = [" ".join(long[1].split()[30:50]), texts[30], " ".join(long[-1].split()[:40])]
     same_stages(spark, list(enumerate(own)), items, tmp_path)
+
+
+def split_groups(docs):
+    """How many groups of equal texts are in more than one shard, and the shards' sizes."""
+    got = docs.select("doc_id", F.md5("text").alias("key")).join(sharding.assign_shards(docs, 8), "doc_id")
+    apart = got.groupBy("key").agg(F.countDistinct("shard").alias("n")).filter("n > 1").count()
+    return apart, sorted(r[1] for r in got.groupBy("shard").count().collect())
+
+
+def test_groups_stay_whole_besides_one_above_the_quota(spark):
+    texts = ["large"] * 400 + [f"group {i // 20}" for i in range(720)] + [f"own {i}" for i in range(80)]
+    assert split_groups(table(spark, texts)) == (1, [150] * 8)
+
+
+def test_groups_stay_whole_where_quotas_are_full(spark):
+    assert split_groups(table(spark, [f"group {i // 20}" for i in range(1600)])) == (0, [200] * 8)
+
+
+def test_fewer_groups_than_shards_are_split():
+    rng = np.random.default_rng(2)
+    for _ in range(200):
+        shards = int(rng.integers(1, 9))
+        sizes = rng.integers(2, rng.choice([4, 40, 400]), int(rng.integers(1, 60)))
+        total = int(sizes.sum()) + int(rng.integers(0, 50))
+        quota = [total // shards + (s < total % shards) for s in range(shards)]
+        classes = {}
+        for m in sizes:
+            key = (int(m), int(rng.integers(shards)))
+            classes[key] = classes.get(key, 0) + 1
+        placed, loads = {}, [0] * shards
+        for m, label, first, end, s, n in sharding.plan_blocks(classes, quota):
+            for rank in range(first, end):
+                placed.setdefault((m, label, rank), []).append(n)
+                loads[s] += n
+        assert sorted(placed) == sorted((*k, r) for k, n in classes.items() for r in range(n))
+        assert all(sum(n) == m for (m, _, _), n in placed.items())
+        assert all(x <= q for x, q in zip(loads, quota))
+        assert sum(len(n) > 1 for (m, _, _), n in placed.items() if m <= quota[0]) < shards

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from safetymart.llm.common import crc_of_id, read_table, stored
+from safetymart.llm.conversations import damaged, repair
 from safetymart.llm.decontaminate import find_leaks
 from safetymart.llm.exact_dedup import duplicate_groups
 from safetymart.llm.html_extract import extract_text
@@ -114,6 +115,11 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return duplicate_groups(_documents(spark, sf_dir))
 
 
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The cheapest repair of all conversations after planted damage."""
+    return repair(damaged(read_table(spark, sf_dir, "conversations")), copies="copies")
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -127,6 +133,7 @@ QUERIES: dict[str, Query] = {
         op8_lm_scoring,
         op9_html_extraction,
         op10_exact_dedup,
+        op13_conversation_repair,
     )
 }
 
@@ -203,5 +210,97 @@ best AS (
 )
 SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(content) AS text_sha256
 FROM best
+""",
+    "op13_conversation_repair": r"""
+WITH RECURSIVE keyed AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS k
+  FROM conversations
+),
+summed AS (  -- crc32, bit by bit
+  SELECT *, xor(4294967295, list_reduce(
+    [4294967295::BIGINT] || list_transform(string_split(k, ''), lambda x: ascii(x)::BIGINT),
+    lambda c, b: list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0],
+      lambda x, y: xor(x >> 1, 3988292384 * (x & 1))))) % 20 AS fault
+  FROM keyed
+),
+damaged AS (
+  SELECT conv_id, turn, CASE WHEN fault = 4 THEN 'user' ELSE role END AS role,
+    CASE WHEN fault = 1 THEN '' WHEN fault = 2 THEN translate(text, '.!?', '') ELSE text END AS text
+  FROM summed, range(CASE fault WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)
+),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i
+  FROM damaged
+),
+seen AS (
+  SELECT *, left(role, 1) AS initial, rtrim(text, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS body,
+    row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 AS again,
+    lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY i) AS before
+  FROM placed
+),
+faulty AS (
+  SELECT *, body = '' AS blank, body <> '' AND again AS duplicate,
+    body <> '' AND NOT again AND right(body, 1) NOT IN ('.', '!', '?') AS truncated
+  FROM seen
+),
+inserts(p, n, mid, roles) AS (  -- p: 0 start, 1 after s, 2 after u, 3 after a
+  VALUES (0, '', 0, ''), (0, 'I', 2, 'u'), (0, 'II', 3, 'ua'), (1, '', 1, ''), (1, 'I', 2, 'u'),
+    (1, 'II', 3, 'ua'), (2, '', 2, ''), (2, 'I', 3, 'a'), (3, '', 3, ''), (3, 'I', 2, 'u')
+),
+edits(mid, e, w, initial, q) AS (
+  VALUES (0, 'D', 3, NULL, 0), (1, 'D', 3, NULL, 1), (2, 'D', 3, NULL, 2), (3, 'D', 3, NULL, 3),
+    (0, 'K', 0, 's', 1), (0, 'K', 0, 'u', 2), (1, 'K', 0, 'u', 2), (2, 'K', 0, 'a', 3),
+    (3, 'K', 0, 'u', 2), (0, 'R', 2, NULL, 2), (1, 'R', 2, NULL, 2), (2, 'R', 2, NULL, 3),
+    (3, 'R', 2, NULL, 2)
+),
+steps AS (
+  SELECT p, q, n || e AS letters, 2 * length(n) + w AS w, e, initial,
+    CASE roles WHEN 'u' THEN chr(10) || 'user:' WHEN 'a' THEN chr(10) || 'assistant:'
+      WHEN 'ua' THEN chr(10) || 'user:' || chr(10) || 'assistant:' ELSE '' END AS lines
+  FROM inserts JOIN edits USING (mid)
+),
+ways AS (
+  SELECT DISTINCT conv_id, 0::BIGINT AS i, 0 AS q, 0::BIGINT AS cost, '' AS audit, '' AS lines
+  FROM damaged
+  UNION ALL
+  SELECT conv_id, i, q, min(cost) AS cost, min_by(audit, (cost, audit)) AS audit,
+    min_by(lines, (cost, audit)) AS lines
+  FROM (
+    SELECT f.conv_id, f.i, s.q, cost + w + CASE WHEN e <> 'D' AND truncated THEN 1 ELSE 0 END AS cost,
+      audit || letters AS audit,
+      ways.lines || s.lines || CASE e WHEN 'D' THEN '' WHEN 'K' THEN chr(10) || role || ':' || text
+        ELSE chr(10) || CASE s.q WHEN 2 THEN 'user' ELSE 'assistant' END || ':' || text END AS lines
+    FROM ways JOIN steps s ON s.p = ways.q
+      JOIN faulty f ON f.conv_id IS NOT DISTINCT FROM ways.conv_id AND f.i = ways.i + 1
+    WHERE (e = 'D' OR NOT blank AND NOT duplicate) AND (e <> 'K' OR f.initial = s.initial)
+  ) GROUP BY conv_id, i, q
+),
+ends AS (
+  SELECT ways.conv_id, i, cost + 2 * length(n) AS cost, audit || n AS audit,
+    lines || CASE roles WHEN 'a' THEN chr(10) || 'assistant:'
+      WHEN 'ua' THEN chr(10) || 'user:' || chr(10) || 'assistant:' ELSE '' END AS lines
+  FROM ways JOIN inserts ON p = ways.q WHERE mid IN (0, 3)
+),
+counts AS (
+  SELECT conv_id, count(*) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+    count(*) FILTER (blank) AS blank, count(*) FILTER (duplicate) AS duplicate,
+    count(*) FILTER (truncated) AS truncated,
+    count(*) FILTER (before IS NOT NULL AND before || initial NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM faulty GROUP BY conv_id
+),
+repaired AS (
+  SELECT e.conv_id, min(cost) AS cost, min_by(audit, (cost, audit)) AS audit,
+    min_by(lines, (cost, audit)) AS lines
+  FROM ends e JOIN counts c ON e.conv_id IS NOT DISTINCT FROM c.conv_id AND e.i = c.n
+  GROUP BY e.conv_id
+)
+SELECT o.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank,
+  coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+  coalesce(illegal, 0) AS illegal, coalesce(cost, 0) AS cost, coalesce(audit, '') AS audit,
+  sha256(coalesce(lines[2:], '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) o
+  LEFT JOIN counts c ON o.conv_id IS NOT DISTINCT FROM c.conv_id
+  LEFT JOIN repaired r ON o.conv_id IS NOT DISTINCT FROM r.conv_id
 """,
 }

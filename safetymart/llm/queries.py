@@ -13,6 +13,7 @@ from safetymart.llm.decontaminate import find_leaks
 from safetymart.llm.exact_dedup import duplicate_groups
 from safetymart.llm.html_extract import extract_text
 from safetymart.llm.langid import fit, predict
+from safetymart.llm.lexical_search import search
 from safetymart.llm.minhash import near_duplicates
 from safetymart.llm.packing import pack
 from safetymart.llm.ppm import score_texts
@@ -115,6 +116,11 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return duplicate_groups(_documents(spark, sf_dir))
 
 
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten documents that rank highest for each benchmark item."""
+    return search(_documents(spark, sf_dir), read_table(spark, sf_dir, "benchmark"))
+
+
 def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The cheapest repair of all conversations after planted damage."""
     return repair(damaged(read_table(spark, sf_dir, "conversations")), copies="copies")
@@ -133,6 +139,7 @@ QUERIES: dict[str, Query] = {
         op8_lm_scoring,
         op9_html_extraction,
         op10_exact_dedup,
+        op12_lexical_search,
         op13_conversation_repair,
     )
 }
@@ -143,6 +150,11 @@ _WORDS = (
     + r", '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 )
 
+_TERMS = (
+    "regexp_extract_all(" + _LOWER.format("coalesce(text, '')")
+    + r", '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+)
+
 ORACLE_SQL: dict[str, str] = {
     "op1_decontamination": f"""
 WITH docs AS (SELECT doc_id, {_WORDS} AS w FROM documents),
@@ -211,6 +223,36 @@ best AS (
 SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(content) AS text_sha256
 FROM best
 """,
+    "op12_lexical_search": r"""
+WITH docs AS (SELECT row_number() OVER () AS r, doc_id, TERMS AS t FROM documents),
+items AS (
+  SELECT i, item_id, unnest(t) AS term
+  FROM (SELECT row_number() OVER () AS i, item_id, TERMS AS t FROM benchmark)
+),
+asked AS (SELECT i, item_id, term, count(*) AS times FROM items GROUP BY ALL),
+size AS (SELECT count(*)::BIGINT AS n_docs, sum(len(t))::BIGINT AS n_terms FROM docs WHERE len(t) > 0),
+counts AS (
+  SELECT r, term, count(*)::BIGINT AS tf
+  FROM (SELECT r, unnest(t) AS term FROM docs) SEMI JOIN asked USING (term) GROUP BY ALL
+),
+weights AS (
+  SELECT term, floor(1000 * ln((2 * n_docs + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w
+  FROM counts, size GROUP BY term, n_docs
+),
+parts AS (
+  SELECT r, doc_id, 25 + (75 * len(t)::BIGINT * n_docs) // n_terms AS m FROM docs, size WHERE len(t) > 0
+),
+scores AS (
+  SELECT i, item_id, r, doc_id,
+    sum(times * w * ((1000000000 * tf) // (1000 * tf + 8 * m)))::BIGINT AS score
+  FROM asked JOIN counts USING (term) JOIN weights USING (term) JOIN parts USING (r)
+  GROUP BY ALL
+)
+SELECT item_id, (row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id NULLS LAST))::INTEGER AS rank,
+  doc_id, score
+FROM scores WHERE score > 0
+QUALIFY rank <= 10
+""".replace("TERMS", _TERMS),
     "op13_conversation_repair": r"""
 WITH RECURSIVE keyed AS (
   SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,

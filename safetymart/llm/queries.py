@@ -19,6 +19,7 @@ from safetymart.llm.packing import pack
 from safetymart.llm.ppm import score_texts
 from safetymart.llm.sharding import assign_shards
 from safetymart.llm.suffix_dedup import remove_repeats
+from safetymart.llm.vectors import near_vectors
 from safetymart.llm.warc import audit, record_digests, warc_records
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -116,6 +117,11 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return duplicate_groups(_documents(spark, sf_dir))
 
 
+def op11_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of embeddings with cosines of 0.95 or more."""
+    return near_vectors(read_table(spark, sf_dir, "embeddings"), cosine=0.95)
+
+
 def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ten documents that rank highest for each benchmark item."""
     return search(_documents(spark, sf_dir), read_table(spark, sf_dir, "benchmark"))
@@ -139,6 +145,7 @@ QUERIES: dict[str, Query] = {
         op8_lm_scoring,
         op9_html_extraction,
         op10_exact_dedup,
+        op11_embedding_dedup,
         op12_lexical_search,
         op13_conversation_repair,
     )
@@ -222,6 +229,34 @@ best AS (
 )
 SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(content) AS text_sha256
 FROM best
+""",
+    "op11_embedding_dedup": """
+WITH RECURSIVE rows AS (
+  SELECT row_number() OVER () AS r, vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+),
+valid AS (
+  SELECT * FROM rows
+  WHERE len(v) > 0 AND len(list_filter(v, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND list_max(list_transform(v, lambda x: abs(x))) > 0
+),
+pairs AS (
+  SELECT a.r AS p, b.r AS q FROM valid a JOIN valid b ON a.r < b.r
+  WHERE list_cosine_similarity(a.v, b.v) >= 0.95
+),
+links AS (SELECT p, q FROM pairs UNION ALL SELECT q, p FROM pairs),
+reached AS (
+  SELECT r, r AS other FROM rows
+  UNION
+  SELECT reached.r, q FROM reached JOIN links ON other = p
+),
+named AS (
+  SELECT reached.r, min(o.vec_id) AS component_id
+  FROM reached JOIN rows o ON o.r = other GROUP BY reached.r
+),
+counted AS (SELECT p AS r, count(*) AS n FROM links GROUP BY p)
+SELECT vec_id, coalesce(n, 0) AS n_links, component_id,
+  vec_id IS NOT DISTINCT FROM component_id AS kept
+FROM rows LEFT JOIN counted USING (r) JOIN named USING (r)
 """,
     "op12_lexical_search": r"""
 WITH docs AS (SELECT row_number() OVER () AS r, doc_id, TERMS AS t FROM documents),

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from safetymart.schemas import CORRUPT, FEEDS
+from safetymart.sources.arrays import array_elements
 from safetymart.sources.layout import (
     MissingFeedError,
     as_day,
@@ -56,22 +57,30 @@ def array_records(arrays: DataFrame, text_col: str = RECORD) -> DataFrame:
 def read_documents(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """One row per file, its whole text: API responses as they were saved.
 
-    A response is one JSON value and cannot be split, so that each file is read
-    by one task, many files by many tasks. An empty file stops the read: it would
+    Each file is read by one task, many files by many tasks: pages are small, and
+    whole arrays have ``read_array_feed``. An empty file stops the read: it would
     be no row, and landing it would replace a day by nothing.
     """
+    _refuse_empty(spark, path)
+    return spark.read.text(path, wholetext=True)
+
+
+def _refuse_empty(spark: SparkSession, path: str | list[str]) -> None:
     empty = empty_files(spark, path)
     if empty:
         raise ValueError(f"empty responses: {empty}")
-    return spark.read.text(path, wholetext=True)
 
 
 def read_pages(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return page_records(read_documents(spark, path))
 
 
-def read_array_feed(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    return array_records(read_documents(spark, path))
+def read_array_feed(
+    spark: SparkSession, path: str | list[str], split_bytes: int | None = None
+) -> DataFrame:
+    """Records of files that are one JSON array each, of any size, cut by many tasks."""
+    _refuse_empty(spark, path)
+    return array_elements(spark, path, split_bytes, RECORD)
 
 
 def parse_records(records: DataFrame, schema: T.StructType) -> DataFrame:

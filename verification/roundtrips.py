@@ -31,12 +31,20 @@ def page_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def array_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Records out of JSON arrays: each array holds its record twice."""
-    record = F.to_json(F.struct("*"))
-    arrays = fsis_raw(spark, sf_dir).select(
-        F.concat(F.lit("["), record, F.lit(","), record, F.lit("]")).alias("value")
-    )
-    return bronze.parse_records(bronze.array_records(arrays), FSIS_RAW)
+    """Records out of one file that is one JSON array, cut at 64 KB; each stands twice.
+
+    A saved response is one file, so one task writes it, line by line.
+    """
+    record = F.to_json(F.struct("*", F.struct(F.lit('"}],{').alias("x")).alias("nested")))
+    raw = fsis_raw(spark, sf_dir).select(record.alias("value"))
+    comma = F.concat(F.lit(","), "value").alias("value")
+    lines = raw.unionByName(raw).select(F.lit(1).alias("place"), comma)
+    ends = spark.createDataFrame([(0, '[{"field_title":"first"}'), (2, "]")], lines.schema)
+    folder = scratch_dir(spark, "array")
+    whole = lines.unionByName(ends).coalesce(1).sortWithinPartitions("place")
+    whole.select("value").write.text(folder)
+    records = bronze.read_array_feed(spark, folder, split_bytes=1 << 16)
+    return bronze.parse_records(records, FSIS_RAW).filter("field_title <> 'first'")
 
 
 def bronze_day(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -22,6 +22,29 @@ ROLLUP_KEYS = (
     "source_agency",
 )
 
+# The order that each aggregate is shown in; "-" is descending. The columns after the
+# first two only decide between rows that are equal in these.
+REPORT_ORDER = {
+    "agg_recalls_by_year": ("recall_year", "classification", "source_agency"),
+    "agg_contaminants_by_year": ("recall_year", "contamination_category"),
+    "agg_recalls_by_state": ("-recall_count", "state", "source_agency"),
+    "agg_class1_by_contaminant": (
+        "recall_year",
+        "-recall_count",
+        "contamination_category",
+        "source_agency",
+    ),
+}
+
+
+def in_report_order(name: str, df: DataFrame) -> DataFrame:
+    """The rows of an aggregate in its order. Stored tables have none: a sort for
+    reading them would be lost with the next shuffle."""
+    order = [
+        F.desc(c[1:]) if c.startswith("-") else F.asc(c) for c in REPORT_ORDER[name]
+    ]
+    return df.orderBy(*order)
+
 
 def stg_recalls(silver: DataFrame) -> DataFrame:
     """Silver rows that have an id."""

@@ -1,4 +1,4 @@
-"""Silver to gold: build all tables aside, check them, then publish."""
+"""Silver to gold: build all tables as a new version, check them, then publish it."""
 
 from __future__ import annotations
 
@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from safetymart.operators import marts
 from safetymart.operators.quality import model_checks
 from safetymart.session import sized_shuffles
-from safetymart.sources.layout import delete_dir, hidden_beside, swap_in
+from safetymart.sources.layout import delete_dir, new_version, publish, published
 from safetymart.sources.tables import read_fact, write_fact
 
 # Aggregates that follow from the table of counts.
@@ -61,28 +61,36 @@ def run_gold(
     read a table of counts that one scan of the fact gives. No intermediate
     result is held in executor memory: a lost executor costs its own tasks only.
 
-    All models appear together, by one swap of the ``gold`` folder after the
-    checks. ``on_failure="warn"`` publishes in spite of failed checks.
+    The models are a version of ``gold`` that no reader sees before its mark is
+    written, after the checks: all appear together, on object stores too, and who reads
+    the version before goes on with it. ``published`` finds the current one.
+    ``on_failure="warn"`` publishes in spite of failed checks.
     """
     if on_failure not in ("raise", "warn"):
         raise ValueError(f"on_failure must be 'raise' or 'warn', not {on_failure!r}")
-    fresh, retired = hidden_beside(gold)
+    version, fresh = new_version(gold)
     try:
         with sized_shuffles(silver):
             checks = _build_aside(spark, marts.stg_recalls(silver), fresh)
         failed = [r.asDict() for r in checks if r["failures"]]
         if failed and on_failure == "raise":
             raise QualityError(f"checks failed: {failed}")
-        swap_in(spark, fresh, gold, retired)
     except BaseException:
         delete_dir(spark, fresh)
         raise
+    publish(spark, gold, version)
     return checks
 
 
+def read_gold(spark: SparkSession, gold: str) -> dict[str, DataFrame]:
+    """The models that were published last."""
+    folder = published(spark, gold)
+    return {name: spark.read.parquet(f"{folder}/{name}") for name in MODELS}
+
+
 def gold_views(spark: SparkSession, gold: str) -> dict[str, DataFrame]:
     """The published models, also as temporary views for SQL."""
-    models = {name: spark.read.parquet(f"{gold}/{name}") for name in MODELS}
+    models = read_gold(spark, gold)
     for name, df in models.items():
         df.createOrReplaceTempView(name)
     return models

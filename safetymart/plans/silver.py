@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import date
 
@@ -16,11 +18,11 @@ from safetymart.operators.normalize import (
     normalize_state,
     union_feeds,
 )
-from safetymart.operators.quality import feed_profile
 from safetymart.schemas import SILVER_COLUMNS, UNIFIED_COLUMNS
-from safetymart.session import sized_shuffles
-from safetymart.sources.bronze import malformed, scan_bronze, well_formed
-from safetymart.sources.layout import as_day, day_dir, replace_dir
+from safetymart.session import isolated, sized_shuffles
+from safetymart.sources.bronze import scan_bronze
+from safetymart.sources.layout import as_day, day_dir, delete_dir, replace_dir
+from safetymart.sources.staging import stage_feed
 from safetymart.sources.tables import write_silver
 
 # Decides between versions of one notice that have the same dates. All columns
@@ -97,54 +99,61 @@ def run_silver(
     day: date | str | None = None,
     as_of: bool = False,
     min_rows: dict[str, int] | None = None,
-    check_feeds: bool = True,
     require_fields: bool = False,
     quarantine: str | None = None,
     max_malformed: int | None = None,
 ) -> SilverRun:
     """Read one bronze day, write the silver day, report.
 
-    ``check_feeds`` takes the size of both feeds, their nulls in required fields
-    and their malformed lines in one extra pass over the needed fields. It is a
-    pass of its own, and not a metric observed during the write, because a map
-    task that is run again after a lost executor would be counted twice.
+    Each feed's JSON is parsed once, into a folder beside the silver days that goes at
+    the end. Sizes, nulls in required fields and malformed lines are counted in every
+    run, from the footers of what was written there, and are in the result's ``feeds``.
     Feeds below ``min_rows`` stop the run, and with ``require_fields`` so do
     nulls in required fields. Malformed lines are left out of silver and go to
-    the day's folder below ``quarantine`` when it is given, with or without checks;
-    more than ``max_malformed`` of them in a feed (default: any number) stop the run.
-    ``day`` is resolved once, for reading and writing.
+    the day's folder below ``quarantine`` when it is given; more than ``max_malformed``
+    of them in a feed (default: any number) stop the run. ``day`` is resolved once, for
+    reading and writing. Settings are changed in a session of the run's own.
     """
-    day = as_day(day)
-    scans = {feed: scan_bronze(spark, bronze, feed, day, as_of) for feed in R.MIN_ROWS}
-    profile: list = []
-    if check_feeds or min_rows or require_fields or max_malformed is not None:
-        profiles = [
-            feed_profile(scan, feed, R.REQUIRED_FIELDS[feed])
-            for feed, scan in scans.items()
+    own, day = isolated(spark), as_day(day)
+    scans = {feed: scan_bronze(own, bronze, feed, day, as_of) for feed in R.MIN_ROWS}
+    stage = f"{silver.rstrip('/')}/.stage-{uuid.uuid4().hex}"
+    try:
+        with ThreadPoolExecutor(len(scans)) as pool:
+            feeds = dict(
+                zip(scans, pool.map(lambda f: stage_feed(scans[f], f"{stage}/{f}"), scans))
+            )
+        profile = [
+            r for feed, staged in feeds.items() for r in staged.profile(feed, R.REQUIRED_FIELDS[feed])
         ]
-        profile = profiles[0].unionByName(profiles[1]).collect()
-        problems = [
-            f"{r['feed']}: {r['row_count']} rows"
-            for r in profile
-            if r["row_count"] < (min_rows or {}).get(r["feed"], 0)
-        ] + [
-            f"{r['feed']}: {r['missing']} rows without {r['field']}"
-            for r in profile
-            if require_fields and r["missing"]
-        ] + [
-            f"{r['feed']}: {r['malformed']} malformed lines"
-            for r in profile
-            if max_malformed is not None and r["malformed"] > max_malformed
-        ]
-        if problems:
-            raise FeedError("; ".join(sorted(set(problems))))
-    clean = {r["feed"] for r in profile if not r["malformed"]}
-    for feed, scan in scans.items() if quarantine else ():
-        if feed not in clean:
-            lines = malformed(scan).select("line")
+        _stop_on_problems(profile, min_rows or {}, require_fields, max_malformed)
+        broken = {r["feed"] for r in profile if r["malformed"]}
+        for feed in broken if quarantine else ():
+            lines = feeds[feed].lines()
             target = day_dir(f"{quarantine.rstrip('/')}/{feed}", day)
-            replace_dir(spark, target, lambda path, lines=lines: lines.write.json(path))
-    unified = unify(well_formed(scans["fda"]), well_formed(scans["fsis"]))
-    with sized_shuffles(unified):
-        path = write_silver(enrich_notices(latest_notices(unified)), silver, day)
+            replace_dir(own, target, lambda path, lines=lines: lines.write.json(path))
+        unified = unify(feeds["fda"].rows(), feeds["fsis"].rows())
+        with sized_shuffles(unified):
+            path = write_silver(enrich_notices(latest_notices(unified)), silver, day)
+    finally:
+        delete_dir(own, stage)
     return SilverRun(path, spark.read.parquet(path).count(), profile)
+
+
+def _stop_on_problems(
+    profile: list, min_rows: dict[str, int], require_fields: bool, max_malformed: int | None
+) -> None:
+    problems = [
+        f"{r['feed']}: {r['row_count']} rows"
+        for r in profile
+        if r["row_count"] < min_rows.get(r["feed"], 0)
+    ] + [
+        f"{r['feed']}: {r['missing']} rows without {r['field']}"
+        for r in profile
+        if require_fields and r["missing"]
+    ] + [
+        f"{r['feed']}: {r['malformed']} malformed lines"
+        for r in profile
+        if max_malformed is not None and r["malformed"] > max_malformed
+    ]
+    if problems:
+        raise FeedError("; ".join(sorted(set(problems))))

@@ -35,6 +35,20 @@ def build_session(app: str = "safetymart", **conf: str) -> SparkSession:
     return builder.getOrCreate()
 
 
+def isolated(spark: SparkSession, conf: dict[str, str] | None = None) -> SparkSession:
+    """A session beside ``spark`` with its settings and ``conf``; changes stay within it.
+
+    Both share the cluster and the catalog's tables, not temporary views.
+    """
+    session = spark.newSession()
+    for name, value in spark.conf.getAll.items():
+        if spark.conf.isModifiable(name):
+            session.conf.set(name, value)
+    for name, value in (conf or {}).items():
+        session.conf.set(name, value)
+    return session
+
+
 @contextmanager
 def settings(spark: SparkSession, conf: dict[str, str]) -> Iterator[None]:
     """The session with ``conf`` within the block, as it was afterwards."""

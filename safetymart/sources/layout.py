@@ -132,6 +132,56 @@ def swap_in(spark: SparkSession, fresh: str, path: str, retired: str) -> None:
         delete_dir(spark, retired)
 
 
+# Empty files in this folder say which version of a dataset readers are to use.
+PUBLISHED = "_published"
+_MARK = re.compile(r"^(\d{12})-(.+)$")
+
+
+def _marks(spark: SparkSession, folder: str) -> list[tuple[int, str]]:
+    fs, path = _fs(spark, f"{folder}/{PUBLISHED}")
+    if not fs.exists(path):
+        return []
+    found = [_MARK.match(s.getPath().getName()) for s in fs.listStatus(path)]
+    return sorted((int(m[1]), m[2]) for m in found if m)
+
+
+def new_version(folder: str) -> tuple[str, str]:
+    """A name for the next content of ``folder`` and its path; no reader sees it yet."""
+    version = f"version-{uuid.uuid4().hex}"
+    return version, f"{folder.rstrip('/')}/{version}"
+
+
+def published(spark: SparkSession, folder: str) -> str:
+    """The path of the version of ``folder`` that was published last."""
+    folder = folder.rstrip("/")
+    marks = _marks(spark, folder)
+    if not marks:
+        raise MissingFeedError(f"nothing is published in {folder}")
+    return f"{folder}/{marks[-1][1]}"
+
+
+def publish(spark: SparkSession, folder: str, version: str, keep: int = 2) -> None:
+    """Make ``version`` what readers of ``folder`` get, by one new empty file.
+
+    A file is there or not, on object stores as well; nothing is renamed or copied. A
+    publication at the same time that took this number makes this one take the next.
+    The last ``keep`` versions stay, for those who still read them.
+    """
+    folder = folder.rstrip("/")
+    while True:
+        marks = _marks(spark, folder)
+        number = marks[-1][0] + 1 if marks else 1
+        fs, mark = _fs(spark, f"{folder}/{PUBLISHED}/{number:012d}-{version}")
+        fs.mkdirs(mark.getParent())
+        fs.create(mark, False).close()
+        if [v for n, v in _marks(spark, folder) if n == number] == [version]:
+            break
+        fs.delete(mark, False)
+    for n, old in _marks(spark, folder)[:-keep]:
+        delete_dir(spark, f"{folder}/{old}")
+        delete_dir(spark, f"{folder}/{PUBLISHED}/{n:012d}-{old}")
+
+
 def _rename(spark: SparkSession, source: str, target: str) -> None:
     fs, target_path = _fs(spark, target)
     fs.mkdirs(target_path.getParent())

@@ -7,9 +7,16 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from safetymart.operators.marts import stg_recalls
+from safetymart.schemas import SILVER_COLUMNS
 from safetymart.session import settings
-from safetymart.sources.layout import day_dir, replace_dir, resolve_day, silver_dir
+from safetymart.sources.layout import (
+    day_dir,
+    new_version,
+    publish,
+    replace_dir,
+    resolve_day,
+    silver_dir,
+)
 
 FACT_MONTH = "recall_month_start"
 
@@ -54,31 +61,53 @@ def read_silver(
 
 
 def load_current(
-    spark: SparkSession, silver_day: str, table: str, copy: bool = True
+    spark: SparkSession,
+    silver_day: str,
+    table: str,
+    copy: bool = True,
+    versions: str | None = None,
 ) -> int:
     """Make ``table`` hold exactly the silver day; returns its number of rows.
 
-    ``copy=False`` lets the table point at the day's folder instead, which
-    moves no data: at a large scale that is the one to use. A managed table of that
-    name holds data of its own and is not dropped for it.
+    The day is copied to a new version below ``versions`` (default: a folder of the
+    warehouse), and then the table's location in the catalog is changed, in one step: a reader sees the old rows or the
+    new, and the table is never gone. The version before stays, for those who still read
+    it. ``copy=False`` lets the table point at the day's folder instead, which moves no
+    data: at a large scale that is the one to use. A managed table of that name holds
+    data of its own and is refused, as are other columns than it has.
     """
+    location, version = silver_day, None
+    day = spark.read.parquet(silver_day)
+    if spark.catalog.tableExists(table):
+        if spark.catalog.getTable(table).tableType == "MANAGED":
+            raise ValueError(f"{table} is a managed table; drop it or load another")
+        if spark.table(table).dtypes != day.dtypes:
+            raise ValueError(f"{table} has other columns than {silver_day}")
+    warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+    folder = versions or f"{warehouse}/_versions/{table}"
     if copy:
-        spark.read.parquet(silver_day).write.mode("overwrite").saveAsTable(table)
+        version, location = new_version(folder)
+        day.write.parquet(location)
+    if spark.catalog.tableExists(table):
+        spark.sql(f"ALTER TABLE {table} SET LOCATION '{location}'")
     else:
-        if spark.catalog.tableExists(table):
-            if spark.catalog.getTable(table).tableType == "MANAGED":
-                raise ValueError(f"{table} is a managed table; load it with copy=True")
-            spark.sql(f"DROP TABLE {table}")
-        spark.catalog.createTable(table, path=silver_day, source="parquet")
+        spark.catalog.createTable(table, path=location, source="parquet", schema=day.schema)
     spark.catalog.refreshTable(table)
+    if version:
+        publish(spark, folder, version)
     return spark.table(table).count()
 
 
 def staging_view(spark: SparkSession, table: str, view: str = "stg_recalls") -> DataFrame:
-    """The staging projection of ``table``, also as a temporary view."""
-    stg = stg_recalls(spark.table(table))
-    stg.createOrReplaceTempView(view)
-    return stg
+    """The staging projection of ``table`` as a view in the catalog, and its rows.
+
+    The view follows the table: it shows what was loaded last.
+    """
+    spark.sql(
+        f"CREATE OR REPLACE VIEW {view} AS SELECT {', '.join(SILVER_COLUMNS)} "
+        f"FROM {table} WHERE recall_id IS NOT NULL"
+    )
+    return spark.table(view)
 
 
 def by_month(fct: DataFrame) -> DataFrame:

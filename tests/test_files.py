@@ -5,8 +5,10 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
-from safetymart.plans.gold import MODELS, QualityError, gold_views, run_gold
+from safetymart.plans.gold import MODELS, QualityError, gold_views, read_gold, run_gold
 from safetymart.plans.silver import FeedError, run_silver
+from conftest import plan_of
+from safetymart.operators.quality import feed_profile
 from safetymart.schemas import CORRUPT, FDA_RAW, FSIS_RAW
 from safetymart.session import settings
 from safetymart.sources import bronze, layout, tables
@@ -249,7 +251,7 @@ def test_silver_run(spark, landed):
 
 def test_silver_run_twice_gives_the_same_rows(spark, landed, rows):
     first = rows(run_silver(spark, landed, landed, DAY).read(spark))
-    second = rows(run_silver(spark, landed, landed, DAY, check_feeds=False).read(spark))
+    second = rows(run_silver(spark, landed, landed, DAY).read(spark))
     assert first == second
 
 
@@ -262,6 +264,45 @@ def test_malformed_lines_are_set_aside(spark, landed):
     assert not Path(f"{landed}/bad/fda").exists()
 
 
+def test_each_feed_is_read_once(spark, landed, monkeypatch, rows):
+    """The raw files are gone once they were staged, and nothing is missing."""
+    import shutil
+
+    from safetymart.plans import silver
+
+    expected = rows(run_silver(spark, landed, f"{landed}/a", DAY).read(spark))
+    read = silver.stage_feed
+
+    def read_and_remove(scan, folder):
+        staged = read(scan, folder)
+        shutil.rmtree(_day(landed, folder.rpartition("/")[2]))
+        return staged
+
+    monkeypatch.setattr(silver, "stage_feed", read_and_remove)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    run = run_silver(spark, landed, f"{landed}/b", DAY, quarantine=f"{landed}/bad")
+    assert rows(run.read(spark)) == expected
+    assert {r["feed"]: r["malformed"] for r in run.feeds} == {"fda": 0, "fsis": 0}
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
+    assert not list(Path(f"{landed}/b").glob(".stage*"))
+
+
+def test_counts_come_from_footers(spark, landed):
+    from safetymart.sources.staging import stage_feed
+
+    _write(_day(landed, "fda"), '{"recall_number": null}\nbroken\n\n{"state": 1', name="part-x.json")
+    scan = bronze.scan_bronze(spark, landed, "fda", DAY)
+    expected = {r["field"]: r for r in feed_profile(scan, "fda", ["recall_number", "state"]).collect()}
+    staged = stage_feed(scan, f"{landed}/staged")
+    assert {r["field"]: r for r in staged.profile("fda", ["recall_number", "state"])} == expected
+    assert expected["state"]["malformed"] == 2
+    plan = plan_of(staged.counts(["state"]))
+    assert "PushedAggregation: [COUNT(*), COUNT(state)]" in plan, plan
+    assert sorted(r["line"] for r in staged.lines().collect()) == ["broken", '{"state": 1']
+    assert all(r["source_file"].endswith("part-x.json") for r in staged.lines().collect())
+    assert "(kind#" in plan_of(staged.rows()) and "PartitionFilters: [isnotnull(kind" in plan_of(staged.rows())
+
+
 def test_small_feeds_stop_the_run(spark, landed):
     with pytest.raises(FeedError, match="fsis"):
         run_silver(spark, landed, landed, DAY, min_rows={"fda": 3, "fsis": 3})
@@ -285,17 +326,48 @@ def test_as_of_takes_the_latest_day_of_each_feed(spark, landed):
 
 @pytest.mark.parametrize("copy", [True, False])
 def test_current_table_holds_the_last_load(spark, landed, copy):
-    table = f"current_{copy}".lower()
+    table, view = f"current_{copy}".lower(), f"stg_{copy}".lower()
     path = run_silver(spark, landed, landed, DAY).path
-    assert tables.load_current(spark, path, table, copy) == 2
+    versions = f"{landed}/versions"
+    assert tables.load_current(spark, path, table, copy, versions) == 2
+    shown = tables.staging_view(spark, table, view)
+    reading = spark.table(table)  # planned before the next load
+    assert shown.count() == reading.count() == 2
     one = spark.read.parquet(path).filter("recall_id = 'F-1'")
     path = tables.write_silver(one, landed, "2024-04-15")
-    assert tables.load_current(spark, path, table, copy) == 1
-    assert tables.staging_view(spark, table, "v").count() == 1
-    assert spark.table("v").first()["recall_id"] == "F-1"
+    assert tables.load_current(spark, path, table, copy, versions) == 1
+    assert spark.table(view).first()["recall_id"] == "F-1" and spark.table(view).count() == 1
+    assert reading.count() == 2  # the version before is still there
+    if copy:
+        for _ in range(2):
+            tables.load_current(spark, path, table, copy, versions)
+        assert len(list(Path(versions).glob("version-*"))) == 2
+    with pytest.raises(ValueError, match="other columns"):
+        other = tables.write_silver(one.drop("state"), landed, "2024-04-16")
+        tables.load_current(spark, other, table, copy, versions)
+    spark.sql(f"DROP VIEW {view}")
     spark.sql(f"DROP TABLE {table}")
 
 
+def test_a_managed_table_is_refused(spark, landed):
+    path = run_silver(spark, landed, landed, DAY).path
+    spark.range(1).write.saveAsTable("managed")
+    with pytest.raises(ValueError, match="managed"):
+        tables.load_current(spark, path, "managed")
+    spark.sql("DROP TABLE managed")
+
+
+def test_filters_go_through_the_staging_view(spark, landed):
+    path = run_silver(spark, landed, landed, DAY).path
+    tables.load_current(spark, path, "seen", copy=False)
+    tables.staging_view(spark, "seen", "stg_seen")
+    plan = plan_of(spark.sql("SELECT city FROM stg_seen WHERE status = 'Ongoing'"))
+    assert "ReadSchema: struct<recall_id:string,city:string,status:string>" in plan
+    assert "EqualTo(status,Ongoing)" in plan and "IsNotNull(recall_id)" in plan
+    spark.sql("DROP VIEW stg_seen")
+    spark.sql("DROP TABLE seen")
+
+
 # --- Gold run ------------------------------------------------------------------
 
 
@@ -303,7 +375,8 @@ def test_gold_run_publishes_all_models(spark, landed):
     silver = run_silver(spark, landed, landed, DAY).read(spark)
     checks = run_gold(spark, silver, f"{landed}/gold")
     assert len(checks) == 12 and not any(r["failures"] for r in checks)
-    assert {p.name for p in Path(f"{landed}/gold").iterdir()} == set(MODELS)
+    folder = Path(layout.published(spark, f"{landed}/gold"))
+    assert {p.name for p in folder.iterdir()} == set(MODELS)
     assert set(gold_views(spark, f"{landed}/gold")) == set(MODELS)
     totals = spark.sql(
         """SELECT (SELECT count(*) FROM fct_recalls) AS rows,
@@ -311,22 +384,41 @@ def test_gold_run_publishes_all_models(spark, landed):
             (SELECT count(*) FROM dim_dates) AS dates"""
     )
     assert tuple(totals.first()) == (2, 2, 2)
-    assert not list(Path(landed).glob(".gold*"))
-    assert spark.read.parquet(f"{landed}/gold/dim_firms").count() == 1
+    assert read_gold(spark, f"{landed}/gold")["dim_firms"].count() == 1
 
 
 def test_failed_checks_publish_nothing(spark, landed):
+    gold = f"{landed}/gold"
+    with pytest.raises(layout.MissingFeedError):
+        read_gold(spark, gold)
     silver = run_silver(spark, landed, landed, DAY).read(spark)
-    run_gold(spark, silver, f"{landed}/gold")
+    run_gold(spark, silver, gold)
+    first = layout.published(spark, gold)
+    reading = read_gold(spark, gold)["fct_recalls"]
     bad = silver.withColumn("classification", F.lit("Class IV"))
     with pytest.raises(QualityError, match="accepted_values"):
-        run_gold(spark, bad, f"{landed}/gold")
-    fct = tables.read_fact(spark, f"{landed}/gold/fct_recalls")
-    assert fct.filter("classification = 'Class IV'").count() == 0
-    assert not list(Path(landed).glob(".gold*"))
-    run_gold(spark, bad, f"{landed}/gold", on_failure="warn")
-    fct = tables.read_fact(spark, f"{landed}/gold/fct_recalls")
+        run_gold(spark, bad, gold)
+    assert layout.published(spark, gold) == first
+    assert [str(p) for p in Path(gold).glob("version-*")] == [first]
+    run_gold(spark, bad, gold, on_failure="warn")
+    fct = read_gold(spark, gold)["fct_recalls"]
     assert fct.filter("classification = 'Class IV'").count() == 2
+    assert reading.filter("classification = 'Class IV'").count() == 0
+
+
+def test_the_last_publication_counts(spark, base):
+    versions = []
+    for _ in range(3):
+        version, path = layout.new_version(f"{base}/data/")
+        spark.range(len(versions)).write.parquet(path)
+        layout.publish(spark, f"{base}/data", version)
+        versions.append(version)
+        assert layout.published(spark, f"{base}/data/") == f"{base}/data/{version}"
+    assert {p.name for p in Path(f"{base}/data").glob("version-*")} == set(versions[1:])
+    # Someone else took the next number at the same time: this one takes the one after.
+    (Path(base) / "data" / layout.PUBLISHED / f"{4:012d}-version-x").touch()
+    layout.publish(spark, f"{base}/data", "version-y")
+    assert layout.published(spark, f"{base}/data").endswith("version-y")
 
 
 def test_command_line(spark, base, capsys):
@@ -344,7 +436,7 @@ def test_command_line(spark, base, capsys):
     main(["all", "--bronze", base, "--silver", base, "--gold", f"{base}/gold", "--date", DAY])
     out = capsys.readouterr().out
     assert "2 rows in" in out
-    assert spark.read.parquet(f"{base}/gold/agg_recalls_by_year").count() == 2
+    assert read_gold(spark, f"{base}/gold")["agg_recalls_by_year"].count() == 2
 
 
 # --- Fact layout ---------------------------------------------------------------
@@ -436,7 +528,7 @@ def test_an_empty_response_fails(spark, base, tmp_path, text):
 def test_quarantine_is_by_day_and_needs_no_checks(spark, landed):
     _write(_day(landed, "fsis"), "not json", name="part-extra.json")
     for day in (DAY, "2024-04-20"):
-        run_silver(spark, landed, landed, day, as_of=True, check_feeds=False, quarantine=f"{landed}/bad")
+        run_silver(spark, landed, landed, day, as_of=True, quarantine=f"{landed}/bad")
     days = sorted(str(p.relative_to(landed)) for p in Path(landed).glob("bad/fsis/*/*/*"))
     assert days == [f"bad/fsis/year=2024/month=04/day={d}" for d in (DAY[-2:], "20")]
     assert spark.read.json(f"{landed}/{days[0]}").count() == 1

@@ -216,3 +216,31 @@ def test_description_of_columns(spark):
         (2, "b", "date"),
         (3, "c", "array<int>"),
     ]
+
+
+def test_aggregates_are_shown_in_order(spark):
+    import __spark_entry__ as entry
+
+    for name, order in marts.REPORT_ORDER.items():
+        found = entry.queries()[name](spark, "/root/testdata/sf0.001").collect()
+
+        def place(row, order=order):
+            keys = []
+            for column in order:
+                value = row[column.lstrip("-")]
+                keys.append((value is not None, value) if column[0] != "-" else (True, -value))
+            return [(there, value if there else 0) for there, value in keys]
+
+        assert len(found) > 1 and found == sorted(found, key=place)
+
+
+def test_equal_rows_have_equal_fingerprints(spark):
+    from safetymart.operators.fingerprint import fingerprint
+
+    rows = [(1, "a", 0.5, True), (1, "a", 0.5, True), (2, None, None, False), (3, "b|1:c", 1e-7, None)]
+    table = spark.createDataFrame(rows, "n long, t string, x double, f boolean")
+    first = fingerprint(table, "m").collect()
+    assert fingerprint(table.select("x", "t", "f", "n").orderBy(F.desc("n")).repartition(3), "m").collect() == first
+    for other in (table.distinct(), table.withColumn("t", F.coalesce("t", F.lit("~"))), table.limit(0)):
+        assert fingerprint(other, "m").collect() != first
+    assert tuple(fingerprint(table.limit(0), "m").first()) == ("m", 0, "0")

@@ -5,16 +5,21 @@ Files go to a new folder below the one that ``spark.checkpoint.dir`` names.
 
 from __future__ import annotations
 
+import uuid
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from safetymart.operators import marts
-from safetymart.plans.gold import run_gold
+from safetymart.operators.fingerprint import fingerprint
+from safetymart.plans.gold import QualityError, read_gold, run_gold
 from safetymart.plans.silver import build_silver, run_silver
 from safetymart.schemas import FDA_RAW, FSIS_RAW
 from safetymart.session import scratch_dir
 from safetymart.sources import bronze, tables
 from safetymart.sources.fixtures import fda_raw, fsis_raw
+from safetymart.sources.staging import stage_feed
 
 _DAY = "2024-04-14"
 _EARLIER = "2024-04-07"
@@ -68,6 +73,101 @@ def bronze_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     return days.groupBy("ingest_date").agg(F.count(F.lit(1)).alias("row_count"))
 
 
+def bronze_malformed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Malformed lines of a feed, with the counts of all its lines by kind.
+
+    Every record of Class III is landed as a line that is no JSON.
+    """
+    base = scratch_dir(spark, "malformed")
+    raw = fda_raw(spark, sf_dir)
+    broken = F.concat(F.lit('{"recall_number": "'), F.coalesce("recall_number", F.lit("?")))
+    line = F.when(F.col("classification") == "Class III", broken).otherwise(
+        F.to_json(F.struct(*FDA_RAW.fieldNames()))
+    )
+    bronze.land_bronze(raw.select(line.alias("value")), base, "fda", _DAY)
+    staged = stage_feed(bronze.scan_bronze(spark, base, "fda", _DAY), f"{base}/staged")
+    counts = staged.profile("fda", ["recall_number"])[0]
+    return staged.lines().groupBy("line").agg(F.count(F.lit(1)).alias("line_count")).select(
+        "line",
+        "line_count",
+        F.lit(counts["malformed"]).cast("long").alias("malformed"),
+        F.lit(counts["row_count"]).cast("long").alias("row_count"),
+        F.lit(counts["missing"]).cast("long").alias("missing"),
+    )
+
+
+def _silver_days(spark: SparkSession, sf_dir: str, base: str) -> tuple[str, str]:
+    """Two written silver days: the recalls of one agency, then all."""
+    silver = build_silver(fda_raw(spark, sf_dir), fsis_raw(spark, sf_dir))
+    whole = tables.write_silver(silver, base, _DAY)
+    part = spark.read.parquet(whole).filter("source_agency = 'FDA'")
+    return tables.write_silver(part, base, _EARLIER), whole
+
+
+def _table_name(label: str) -> str:
+    return f"{label}_{uuid.uuid4().hex}"
+
+
+def current_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The current table after two loads, the second in the place of the first."""
+    base = scratch_dir(spark, "current")
+    table = _table_name("current")
+    for day in _silver_days(spark, sf_dir, base):
+        tables.load_current(spark, day, table, versions=f"{base}/versions")
+    return spark.table(table)
+
+
+def staging_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows by agency and year through the catalog's view of the current table.
+
+    The view is made over the first load and shows the second.
+    """
+    first, second = _silver_days(spark, sf_dir, scratch_dir(spark, "view"))
+    table, view = _table_name("current"), _table_name("stg_recalls")
+    tables.load_current(spark, first, table, copy=False)
+    tables.staging_view(spark, table, view)
+    tables.load_current(spark, second, table, copy=False)
+    return spark.sql(
+        f"SELECT source_agency, recall_year, count(*) AS row_count FROM {view} "
+        "WHERE status = 'Ongoing' GROUP BY source_agency, recall_year"
+    )
+
+
+def gold_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is published after a good build and one that its checks stop.
+
+    The first build has the rows that meet all checks; the second has a
+    classification that no list holds.
+    """
+    base = scratch_dir(spark, "gate")
+    path = _silver_days(spark, sf_dir, base)[1]
+    silver = spark.read.parquet(path).filter("classification IS NOT NULL AND recall_date IS NOT NULL")
+    silver = silver.join(
+        # A company without a state and one whose state is that word share their key.
+        silver.filter("state = 'UNKNOWN'").select("company").distinct(), "company", "left_anti"
+    )
+    run_gold(spark, silver, f"{base}/gold")
+    stopped = 0
+    try:
+        run_gold(spark, silver.withColumn("classification", F.lit("Class IV")), f"{base}/gold")
+    except QualityError:
+        stopped = 1
+    published = read_gold(spark, f"{base}/gold")["agg_recalls_by_year"]
+    return published.withColumn("stopped", F.lit(stopped))
+
+
+def gold_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows and order-free fingerprints of the staging view and all published models."""
+    base = scratch_dir(spark, "gold")
+    silver = spark.read.parquet(_silver_days(spark, sf_dir, base)[1])
+    run_gold(spark, silver, f"{base}/gold", on_failure="warn")
+    models = {k: v for k, v in read_gold(spark, f"{base}/gold").items() if k != "rollup"}
+    models["fct_recalls"] = models["fct_recalls"].drop(tables.FACT_MONTH)
+    models["stg_recalls"] = marts.stg_recalls(silver)
+    found = [fingerprint(df, name) for name, df in models.items()]
+    return reduce(DataFrame.unionByName, found)
+
+
 def raw_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A raw Parquet table with inferred schema, replaced as a whole."""
     base = scratch_dir(spark, "raw")
@@ -102,7 +202,7 @@ def gold_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     tables.write_silver(silver, base, _DAY)
     written = tables.read_silver(spark, base, _DAY)
     run_gold(spark, written, f"{base}/gold", on_failure="warn")
-    return spark.read.parquet(f"{base}/gold/agg_contaminants_by_year")
+    return read_gold(spark, f"{base}/gold")["agg_contaminants_by_year"]
 
 
 QUERIES = {
@@ -110,7 +210,12 @@ QUERIES = {
     "array_records": array_records,
     "bronze_day": bronze_day,
     "bronze_days": bronze_days,
+    "bronze_malformed": bronze_malformed,
     "raw_table": raw_table,
+    "current_table": current_table,
+    "staging_view": staging_view,
+    "gold_gate": gold_gate,
+    "gold_fingerprints": gold_fingerprints,
     "silver_run": silver_run,
     "fact_range": fact_range,
     "gold_run": gold_run,

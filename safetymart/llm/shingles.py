@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+
 import numpy as np
 
 from safetymart.llm.common import LOWER, SPACES
@@ -17,6 +19,9 @@ _IS_SPACE[list(SPACES.encode())] = True
 _MIX = (_U64(0xFF51AFD7ED558CCD), _U64(0xC4CEB9FE1A85EC53))
 _STEP = _U64(0x9E3779B97F4A7C15)
 
+# Bytes above which a word has a digest of its own.
+LONG_WORD = 64
+
 _powers: dict[int, np.ndarray] = {}
 
 
@@ -55,6 +60,10 @@ def word_hashes(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.nd
     sums = np.zeros(len(data) + 1, np.uint64)
     np.cumsum(_OF_BYTE[data] * powers(_BASE, len(data)), out=sums[1:])
     h = mix((sums[end] - sums[begin]) * powers(_INVERSE, len(data) + 1)[begin])
+    # Some long words have equal sums with every base modulo 2**64.
+    for i in np.flatnonzero(end - begin > LONG_WORD).tolist():
+        word = data[begin[i] : end[i]].tobytes().translate(LOWER)
+        h[i] = int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little")
     return h, np.searchsorted(begin, starts)
 
 

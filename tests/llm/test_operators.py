@@ -207,6 +207,26 @@ def test_near_duplicates(spark, texts, monkeypatch, pairs_per_doc, block_rows):
         assert got[i][1:] == (len(s), root(i), root(i) == i)
 
 
+def test_near_duplicates_linked_by_a_row_without_id(spark):
+    words = [f"w{i}" for i in range(300)]
+    chain = [" ".join(words[k : k + 260]) for k in (0, 15, 30)]
+    rows = [(1, chain[0]), (None, chain[1]), (3, chain[2]), (None, "alone as it is"), (9, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {(r["doc_id"], r["n_shingles"]): r["component_id"] for r in minhash.near_duplicates(docs).collect()}
+    assert got == {(1, 258): 1, (None, 258): 1, (3, 258): 1, (None, 2): None, (9, 0): 9}
+
+
+def test_long_words_with_equal_sums_are_apart(spark):
+    """Thue-Morse words, which every polynomial hash modulo 2**64 takes for equal."""
+    word = "a"
+    while len(word) < 4096:
+        word += word.translate({97: 98, 98: 97})
+    other = word.translate({97: 98, 98: 97})
+    docs = spark.createDataFrame([(1, f"{word} x y"), (2, f"{other} x y"), (3, f"{word.upper()} x y")], "doc_id long, text string")
+    got = {r["doc_id"]: r["component_id"] for r in minhash.near_duplicates(docs).collect()}
+    assert got == {1: 1, 2: 2, 3: 1}
+
+
 def test_components_of_a_path(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(0, 60)] + [(70, 71)], "a long, b long")
     got = dict(map(tuple, components(edges).collect()))

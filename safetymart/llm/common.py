@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from contextvars import ContextVar
+from functools import wraps
 
 import numpy as np
 import pyarrow as pa
@@ -12,6 +14,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from safetymart.session import PARTITION_BYTES, scratch_dir
+from safetymart.sources.layout import delete_dir
 
 # Rows that one window partition should hold at most.
 GROUP_ROWS = 200_000
@@ -25,9 +28,49 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+# Where ``stored`` notes its folders down, within a stage of a pipeline.
+_noted: ContextVar[list[str] | None] = ContextVar("noted", default=None)
+
+
+class Intermediates:
+    """The folders that a pipeline's stages write on their way; nobody else's."""
+
+    def __init__(self) -> None:
+        self.folders: list[str] = []
+
+    def of_stage(self, stage: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+        """``stage`` (spark, docs, ...), which first drops what earlier stages left.
+
+        Their results have been written by then and come in as ``docs``. Should ``docs``
+        still read one of the folders, that one stays.
+        """
+
+        @wraps(stage)
+        def run(spark: SparkSession, docs: DataFrame, *args) -> DataFrame:
+            self.drop(docs)
+            token = _noted.set(self.folders)
+            try:
+                return stage(spark, docs, *args)
+            finally:
+                _noted.reset(token)
+
+        return run
+
+    def drop(self, docs: DataFrame) -> None:
+        read, kept = docs.inputFiles(), []
+        for folder in self.folders:
+            if any(folder.rpartition("/")[2] in file for file in read):
+                kept.append(folder)
+            else:
+                delete_dir(docs.sparkSession, folder)
+        self.folders[:] = kept
+
+
 def stored(df: DataFrame, label: str) -> DataFrame:
     """``df`` written to the shared folder and read again: its lineage is cut."""
     path = scratch_dir(df.sparkSession, label)
+    if _noted.get() is not None:
+        _noted.get().append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

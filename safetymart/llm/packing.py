@@ -11,10 +11,12 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from safetymart.llm.common import ranked, stored
+from safetymart.llm.common import stored
 
 # The vocabulary's end-of-text token as it stands in texts, and
 # Unicode's white space, at which the tokenizer's own pattern splits.
@@ -29,7 +31,13 @@ _CHUNKS = re.compile(f" ?[^{_WHITE}]+|[{_WHITE}]+(?![^{_WHITE}])|[{_WHITE}]+")
 # Distinct chunks whose ids a task remembers, and the longest it remembers.
 CACHED, CACHED_CHARS = 600_000, 48
 SEPARATOR = 0
-PIECES = "id bigint, piece int, start bigint, length int, ids binary, ids_crc32 bigint"
+# Numbers of pieces, by task and length, that are broadcast; more are joined.
+MAX_FIRSTS = 1 << 19
+# ``nth`` counts the pieces of one length in the order in which their ``task`` made them.
+PIECES = (
+    "id bigint, piece int, start bigint, length int, ids binary, ids_crc32 bigint, "
+    "task int, nth bigint"
+)
 
 
 class ChunkIds(dict):
@@ -99,12 +107,13 @@ def token_pieces(
     A document is its ids and then ``SEPARATOR``. Only a longer one is cut; all
     its pieces have ``size`` ids, except that the first may have fewer. Null is
     an empty text. Columns: id, piece, start (ids before it), length, ids
-    (little-endian 32-bit; null without ``with_ids``), ids_crc32.
+    (little-endian 32-bit; null without ``with_ids``), ids_crc32, task, nth.
     """
     end = SEPARATOR.to_bytes(4, "little")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder()
+        encode, task = encoder(), TaskContext.get().partitionId()
+        made = [0] * (size + 1)
         for batch in batches:
             rows: list[tuple] = []
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1)):
@@ -113,13 +122,14 @@ def token_pieces(
                 start, n = 0, (total - 1) % size + 1
                 for piece in range(-(-total // size)):
                     own = ids[4 * start : 4 * (start + n)]
-                    rows.append(
-                        (doc, piece, start, n, own if with_ids else None, zlib.crc32(own))
-                    )
+                    kept = own if with_ids else None
+                    rows.append((doc, piece, start, n, kept, zlib.crc32(own), task, made[n]))
+                    made[n] += 1
                     start, n = start + n, size
             kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.binary(), pa.int64())
-            names = ("id", "piece", "start", "length", "ids", "ids_crc32")
-            columns = zip(*rows) if rows else [()] * 6
+            kinds = (*kinds, pa.int32(), pa.int64())
+            names = ("id", "piece", "start", "length", "ids", "ids_crc32", "task", "nth")
+            columns = zip(*rows) if rows else [()] * len(names)
             arrays = [pa.array(c, k) for c, k in zip(columns, kinds)]
             yield pa.RecordBatch.from_arrays(arrays, names=list(names))
 
@@ -182,15 +192,18 @@ def _best_two(left: np.ndarray, gap: int) -> tuple[int, int] | None:
 
 
 def place_pieces(pieces: DataFrame, size: int = 2048) -> DataFrame:
-    """``pieces`` with sequence_id and offset: where each stands after packing.
+    """Stored ``pieces`` with sequence_id and offset: where each stands after packing.
 
     The plan needs only how many pieces have each length, ``size`` numbers. A
-    piece is then placed by its rank among those of its length; ranks are worked
-    out by many tasks (``ranked``), and no piece passes through the driver.
+    piece is then placed by its rank among those of its length: its number within its
+    task, after the pieces of all earlier tasks. No ids move, and nothing is sorted. The
+    numbers of the tasks are broadcast up to ``MAX_FIRSTS``, and joined beyond.
     """
-    sizes = pieces.groupBy("length").count().collect()
+    by_task = pieces.groupBy("task", "length").agg(F.count(F.lit(1)).alias("n"))
+    by_task = stored(by_task, "counts")
+    sizes = by_task.groupBy("length").agg(F.sum("n").alias("n")).collect()
     base, slots, taken = 0, [], dict.fromkeys((r["length"] for r in sizes), 0)
-    for times, content in plan_bins({r["length"]: r["count"] for r in sizes}, size):
+    for times, content in plan_bins({r["length"]: r["n"] for r in sizes}, size):
         offset = 0
         for length, n in content:
             slots.append((length, taken[length], n, base, offset))
@@ -218,11 +231,14 @@ def place_pieces(pieces: DataFrame, size: int = 2048) -> DataFrame:
             }
         )
 
-    order = [F.col(c) for c in ("id", "piece", "start", "ids_crc32")]
-    placed = ranked(pieces, ["length"], order)
-    return placed.withColumn("place", place("length", "rank")).select(
-        *pieces.columns, "place.sequence_id", "place.offset"
-    )
+    earlier = W.partitionBy("length").orderBy("task").rowsBetween(W.unboundedPreceding, -1)
+    first = F.coalesce(F.sum("n").over(earlier), F.lit(0)).cast("long")
+    firsts = by_task.select("task", "length", first.alias("first"))
+    small = by_task.count() <= MAX_FIRSTS
+    ranks = pieces.join(F.broadcast(firsts) if small else firsts, ["task", "length"])
+    ranks = ranks.withColumn("place", place("length", F.col("first") + F.col("nth")))
+    names = [c for c in pieces.columns if c not in ("task", "nth")]
+    return ranks.select(*names, "place.sequence_id", "place.offset")
 
 
 def pack(
@@ -238,7 +254,7 @@ def pack(
     Columns: id_col, piece, start, length, ids, ids_crc32, sequence_id, offset. A
     null or empty text is one piece that holds the separator alone. Repeated rows
     are packed each; an empty table gives no rows. Texts are tokenized once: the
-    pieces are written to the shared folder, then counted, ranked and placed.
+    pieces are written to the shared folder, then counted and placed.
     """
     pieces = stored(token_pieces(docs, id_col, text_col, size, encoder, with_ids), "pieces")
     return place_pieces(pieces, size).withColumnRenamed("id", id_col)

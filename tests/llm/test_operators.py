@@ -117,10 +117,12 @@ def test_a_group_above_the_quota_is_spread_evenly(spark):
     assert sorted(r[1] for r in got.groupBy("shard").count().collect()) == [90] * 4
 
 
-def test_packing(spark, texts):
+@pytest.mark.parametrize("most", [packing.MAX_FIRSTS, 0])
+def test_packing(spark, texts, monkeypatch, most):
     from tokenizers import Tokenizer
     import public_tokenizers
 
+    monkeypatch.setattr(packing, "MAX_FIRSTS", most)  # the tasks' numbers broadcast, and joined
     tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
     got = packing.pack(table(spark, texts), size=64).collect()
     ids = {i: tokenizer.encode(t or "", add_special_tokens=False).ids + [0] for i, t in enumerate(texts)}

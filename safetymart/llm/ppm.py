@@ -63,8 +63,16 @@ def _count_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
     def word_table(words: Counter) -> pa.RecordBatch:
         return table(list(words), [_NO_GRAM] * len(words), list(words.values()))
 
+    def merged(parts: list[tuple]) -> tuple[np.ndarray, np.ndarray]:
+        codes, times = (np.concatenate(x) for x in zip(*parts))
+        order = np.argsort(codes, kind="stable")  # runs in order are merged, not sorted anew
+        codes, times = codes[order], times[order]
+        first = np.flatnonzero(np.append(True, codes[1:] != codes[:-1])[: len(codes)])
+        return codes[first], np.add.reduceat(times, first) if len(first) else times
+
     words: Counter = Counter()
-    codes, times = np.zeros(0, np.int64), np.zeros(0, np.int64)
+    held = [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
+    waiting = 0
     for batch in batches:
         data, starts = text_bytes(batch.column(0))
         for a, b in row_chunks(starts, CHUNK_BYTES):
@@ -75,16 +83,19 @@ def _count_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
                 words.update(w)
             words[b""] += len(own)  # the end token
             stream, places, _ = coded_stream([b" ".join(w) for w in own])
-            new, n = np.unique(_grams(stream, places), return_counts=True)
-            codes, where = np.unique(np.concatenate([codes, new]), return_inverse=True)
-            times = np.bincount(where, np.concatenate([times, n])).astype(np.int64)
+            held.append(np.unique(_grams(stream, places), return_counts=True))
+            waiting += len(held[-1][0])
             if len(words) > HELD_WORDS:
                 yield word_table(words)
                 words = Counter()
-            if len(codes) > HELD_GRAMS:
-                yield table([b""] * len(codes), codes, times)
-                codes, times = codes[:0], times[:0]
+            # What is held is merged when as much again is waiting.
+            if waiting > max(len(held[0][0]), HELD_GRAMS // 4):
+                held, waiting = [merged(held)], 0
+                if len(held[0][0]) > HELD_GRAMS:
+                    yield table([b""] * len(held[0][0]), *held[0])
+                    held = [(held[0][0][:0], held[0][1][:0])]
     yield word_table(words)
+    codes, times = merged(held)
     yield table([b""] * len(codes), codes, times)
 
 

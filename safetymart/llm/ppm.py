@@ -8,7 +8,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from safetymart.llm.common import LOWER, row_chunks, stored, text_bytes
@@ -195,23 +195,24 @@ class ByteModel:
 
 def trie_counts(counts: DataFrame, n_symbols: int) -> tuple[list, list]:
     """Of each order the (codes, counts) of grams, and of contexts, that are kept."""
-    of_order = F.explode(F.sequence(F.lit(0), F.lit(ORDER))).alias("k")
-    parts = counts.filter(F.col("gram") != _NO_GRAM).select("gram", "n", of_order)
-    context_mask, symbol_mask = (
-        F.element_at(F.array(*(F.lit(256 ** (k + more) - 1) for k in range(ORDER + 1))), F.col("k") + 1)
-        for more in (0, 1)
-    )
-
-    def sums(code, least) -> list[tuple[np.ndarray, np.ndarray]]:
-        rows = parts.groupBy("k", code.alias("code")).agg(F.sum("n").alias("n"))
-        rows = rows.filter(F.col("n") >= least * n_symbols).toPandas()
-        of = [rows[rows["k"] == k].sort_values("code") for k in range(ORDER + 1)]
-        return [(r["code"].to_numpy(np.int64), r["n"].to_numpy(np.int64)) for r in of]
-
-    context = F.shiftright("gram", 8).bitwiseAND(context_mask)
-    node = F.when(F.col("k") > DENSE, CONTEXT_SHARE).otherwise(0.0)
-    symbols = sums(F.col("gram").bitwiseAND(symbol_mask), F.lit(SYMBOL_SHARE))
-    return symbols, sums(context, node)
+    def kept(rows: DataFrame, share: float) -> tuple[np.ndarray, np.ndarray]:
+        found = rows.filter(F.col("n") >= share * n_symbols).toPandas().sort_values("code")
+        return found["code"].to_numpy(np.int64), found["n"].to_numpy(np.int64)
+
+    def sums(rows: DataFrame, code: Column) -> DataFrame:
+        return rows.groupBy(code.alias("code")).agg(F.sum("n").alias("n"))
+
+    symbols, contexts = [], []
+    # Each order's grams are those of the order above without their first byte.
+    level = sums(counts.filter(F.col("gram") != _NO_GRAM), F.col("gram"))
+    for k in range(ORDER, -1, -1):
+        if k < ORDER:
+            level = sums(level, F.col("code").bitwiseAND(256 ** (k + 1) - 1))
+        level = stored(level, f"grams_{k}")
+        symbols.append(kept(level, SYMBOL_SHARE))
+        node = CONTEXT_SHARE if k > DENSE else 0.0
+        contexts.append(kept(sums(level, F.shiftright("code", 8)), node))
+    return symbols[::-1], contexts[::-1]
 
 
 # The model that a worker has built last, by its broadcast.

@@ -30,6 +30,8 @@ _CHUNKS = re.compile(f" ?[^{_WHITE}]+|[{_WHITE}]+(?![^{_WHITE}])|[{_WHITE}]+")
 
 # Distinct chunks whose ids a task remembers, and the longest it remembers.
 CACHED, CACHED_CHARS = 600_000, 48
+# Bytes of ids that a task holds before it hands them on.
+BATCH_BYTES = 4 << 20
 SEPARATOR = 0
 # Numbers of pieces, by task and length, that are broadcast; more are joined.
 MAX_FIRSTS = 1 << 19
@@ -111,27 +113,35 @@ def token_pieces(
     """
     end = SEPARATOR.to_bytes(4, "little")
 
+    def table(rows: list[tuple]) -> pa.RecordBatch:
+        kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.binary(), pa.int64())
+        kinds = (*kinds, pa.int32(), pa.int64())
+        names = ("id", "piece", "start", "length", "ids", "ids_crc32", "task", "nth")
+        columns = zip(*rows) if rows else [()] * len(names)
+        arrays = [pa.array(c, k) for c, k in zip(columns, kinds)]
+        return pa.RecordBatch.from_arrays(arrays, names=list(names))
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, task = encoder(), TaskContext.get().partitionId()
         made = [0] * (size + 1)
+        rows: list[tuple] = []
+        held = 0
         for batch in batches:
-            rows: list[tuple] = []
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+            for doc, text in zip(batch.column(0), batch.column(1)):
                 ids = encode(text.as_py() or "") + end
                 total = len(ids) // 4
                 start, n = 0, (total - 1) % size + 1
                 for piece in range(-(-total // size)):
                     own = ids[4 * start : 4 * (start + n)]
                     kept = own if with_ids else None
-                    rows.append((doc, piece, start, n, kept, zlib.crc32(own), task, made[n]))
+                    rows.append((doc.as_py(), piece, start, n, kept, zlib.crc32(own), task, made[n]))
                     made[n] += 1
                     start, n = start + n, size
-            kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.binary(), pa.int64())
-            kinds = (*kinds, pa.int32(), pa.int64())
-            names = ("id", "piece", "start", "length", "ids", "ids_crc32", "task", "nth")
-            columns = zip(*rows) if rows else [()] * len(names)
-            arrays = [pa.array(c, k) for c, k in zip(columns, kinds)]
-            yield pa.RecordBatch.from_arrays(arrays, names=list(names))
+                held += 4 * total
+                if held > BATCH_BYTES:
+                    yield table(rows)
+                    rows, held = [], 0
+        yield table(rows)
 
     return docs.select(F.col(id_col).cast("long"), text_col).mapInArrow(run, PIECES)
 

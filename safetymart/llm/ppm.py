@@ -9,19 +9,16 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from safetymart.llm.common import LOWER, row_chunks, stored, text_bytes
 
-# Bytes of context. All contexts of up to ``DENSE`` bytes are nodes of the trie;
-# longer ones if they make up this share of the training bytes (so there are at most
-# 2**16 of each length). A symbol counts in a context if it does of that share (at
-# most 2**20 for each length). These are the bounds of what is broadcast.
-ORDER, DENSE = 5, 2
-CONTEXT_SHARE, SYMBOL_SHARE = 2.0**-16, 2.0**-20
-# Words of this share of the training tokens (at most 2**16) are scored where they
-# stand; all others are joined with their counts.
-HEAD_SHARE = 2.0**-16
+# Bytes of context.
+ORDER = 5
+# So many of the most frequent words and grams go to every task at most (16 bytes a
+# gram, 34 MB); all others are joined with the texts that hold them.
+HEAD_WORDS, HEAD_GRAMS = 1 << 18, 1 << 21
 CHUNK_BYTES = 2 << 20
 HELD_WORDS, HELD_GRAMS = 400_000, 2_000_000
 END = b"\n"
@@ -55,6 +52,8 @@ def _grams(stream: np.ndarray, places: np.ndarray) -> np.ndarray:
 
 
 def _count_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Counts of words and grams of (held_out, text); what only held-out texts hold has 0."""
+
     def table(keys, codes, n) -> pa.RecordBatch:
         kinds = (pa.binary(), pa.int64(), pa.int64())
         arrays = [pa.array(x, k) for x, k in zip((keys, codes, n), kinds)]
@@ -74,17 +73,24 @@ def _count_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
     held = [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
     waiting = 0
     for batch in batches:
-        data, starts = text_bytes(batch.column(0))
+        aside = np.array(batch.column(0).to_pylist(), bool)
+        data, starts = text_bytes(batch.column(1))
         for a, b in row_chunks(starts, CHUNK_BYTES):
             raw = data[starts[a] : starts[b]].tobytes()
             at = (starts[a : b + 1] - starts[a]).tolist()
-            own = [_words(raw[s:e]) for s, e in zip(at, at[1:])]
-            for w in own:
+            own: tuple[list, list] = ([], [])
+            for s, e, of in zip(at, at[1:], aside[a:b].tolist()):
+                own[of].append(_words(raw[s:e]))
+            for w in own[0]:
                 words.update(w)
-            words[b""] += len(own)  # the end token
-            stream, places, _ = coded_stream([b" ".join(w) for w in own])
-            held.append(np.unique(_grams(stream, places), return_counts=True))
-            waiting += len(held[-1][0])
+            if own[0]:
+                words[b""] += len(own[0])  # the end token
+            for weight, texts in zip((1, 0), own):
+                if texts:
+                    stream, places, _ = coded_stream([b" ".join(w) for w in texts])
+                    codes, times = np.unique(_grams(stream, places), return_counts=True)
+                    held.append((codes, times * weight))
+                    waiting += len(codes)
             if len(words) > HELD_WORDS:
                 yield word_table(words)
                 words = Counter()
@@ -99,132 +105,86 @@ def _count_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
     yield table([b""] * len(codes), codes, times)
 
 
-class ByteModel:
-    """Counts of a byte-context trie, made into log10 probabilities.
+def gram_costs(grams: DataFrame) -> DataFrame:
+    """(code, n, log10) of grams (code, n) of ``ORDER`` bytes and a symbol after them.
+
+    The trie's levels are tables of grams, each made from the one above without its
+    first byte. A gram with n = 0 is asked for, but has not occurred in training.
 
-    A symbol is looked for in the longest context that is a node. Where it has not
+    A symbol is looked for in the longest context that has occurred. Where it has not
     followed, the context's escape probability is paid (method D: half of each
-    distinct symbol's first occurrence goes to the escape; symbols left out as too
-    rare count for it too) and the next shorter context is asked, without the symbols
-    just ruled out. Below the empty context all bytes not ruled out are alike.
-
-    Built from (codes, counts) for each order: ``symbols`` of grams, ``totals`` of
-    contexts. Every node has a row in its order's tables: short contexts by their
-    code, longer ones by their place, found by one more byte from the row of the
-    context without its first.
+    distinct symbol's first occurrence goes to the escape) and the next shorter
+    context is asked, without the symbols just ruled out. Below the empty context
+    all bytes not ruled out are alike.
+
+    From the empty context up, each level is joined with the one below: ``log10`` is
+    what a gram costs there, ``escaped`` what it costs below its context once that
+    has been left. A gram has at most 256 longer ones of the next level, and a context
+    as many symbols, so no key of a join or window is hot.
     """
-
-    def __init__(self, symbols: list, totals: list):
-        self.n_log, self.first, self.after, self.child = [], [], [], []
-        previous = None  # whole and escape of each shorter context
-        for k in range(ORDER + 1):
-            codes, place = totals[k]
-            grams, n = symbols[k]
-            if k <= DENSE:
-                rows, size = codes, 256**k
-                own = grams >> 8
-            else:
-                rows, size = np.arange(1, len(codes) + 1), len(codes) + 1
-                shorter = self._rows(codes & (256 ** (k - 1) - 1), k - 1)
-                wide = 256**DENSE if k == DENSE + 1 else len(totals[k - 1][0]) + 1
-                child = np.zeros(wide * 256, np.int32)
-                child[shorter * 256 + (codes >> (8 * (k - 1)))] = rows
-                self.child.append(child)
-                own = self._rows(grams >> 8, k)
-            inside = own >= (0 if k <= DENSE else 1)
-            own, grams, n = own[inside], grams[inside], n[inside].astype(float)
-            whole = np.zeros(size)
-            whole[rows] = place
-            distinct = np.bincount(own, minlength=size)
-            escape = distinct / 2 + whole - np.bincount(own, n, size)
-            with np.errstate(divide="ignore", invalid="ignore"):
-                self.first.append((np.log10(whole), np.log10(escape / whole)))
-                if previous is not None:
-                    # From a node to the shorter context: what is ruled out, what is
-                    # left. A gram's end is no rarer than the gram, so it is kept too.
-                    context = np.arange(size) if k <= DENSE else np.concatenate([[0], codes])
-                    up = self._rows(context & (256 ** (k - 1) - 1), k - 1)
-                    ends = np.searchsorted(symbols[k - 1][0], grams & (256**k - 1))
-                    left = previous[0][up] - np.bincount(own, symbols[k - 1][1][ends], size)
-                    free = previous[1][up] - distinct / 2
-                    some = left > 0
-                    ratio = np.where(some, free / np.where(some, left, 1), 1)
-                    self.after.append((np.log10(np.where(some, left, 1)), np.log10(ratio)))
-            n_log = np.full((size, 256), -np.inf, np.float32)
-            n_log[own, grams & 255] = np.log10(n - 0.5)
-            self.n_log.append(n_log)
-            previous = (whole, escape)
-        self.unseen = -float(np.log10(max(1, 256 - int(np.isfinite(self.n_log[0]).sum()))))
-
-    def _rows(self, context: np.ndarray, k: int) -> np.ndarray:
-        """The row of each context of ``k`` bytes; 0 where a longer one is no node."""
-        if k <= DENSE:
-            return context
-        row = context & (256**DENSE - 1)
-        for n in range(DENSE, k):
-            row = self.child[n - DENSE][row * 256 + ((context >> (8 * n)) & 255)].astype(np.int64)
-        return row
-
-    def log10(self, stream: np.ndarray, places: np.ndarray) -> np.ndarray:
-        """log10 probability of the symbol at each place, from the bytes before it."""
-        gram = _grams(stream, places)
-        symbol, context = gram & 255, gram >> 8
-        rows = [context & (256**k - 1) for k in range(DENSE + 1)]
-        for k in range(DENSE, ORDER):
-            step = rows[k] * 256 + ((context >> (8 * k)) & 255)
-            rows.append(self.child[k - DENSE][step].astype(np.int64))
-        out = np.zeros(len(gram))
-        at = np.arange(len(gram))
-        cost, escaped = np.zeros(len(gram)), np.zeros(len(gram), bool)
-        for k in range(ORDER, -1, -1):
-            row, s = rows[k][at], symbol[at]
-            here = row > 0 if k > DENSE else np.isfinite(self.first[k][0])[row]
-            size, leave = self.first[k][0][row], self.first[k][1][row]
-            if k < ORDER and escaped.any():
-                above = rows[k + 1][at[escaped]]
-                size[escaped], leave[escaped] = (x[above] for x in self.after[k])
-            n = self.n_log[k].ravel()[row * 256 + s]
-            hit = np.isfinite(n) & here
-            out[at[hit]] = cost[hit] + n[hit] - size[hit]
-            rest = ~hit
-            cost = cost[rest] + np.where(here, leave, 0.0)[rest]
-            at, escaped = at[rest], here[rest]
-        out[at] = cost + self.unseen
-        return out
-
-
-def trie_counts(counts: DataFrame, n_symbols: int) -> tuple[list, list]:
-    """Of each order the (codes, counts) of grams, and of contexts, that are kept."""
-    def kept(rows: DataFrame, share: float) -> tuple[np.ndarray, np.ndarray]:
-        found = rows.filter(F.col("n") >= share * n_symbols).toPandas().sort_values("code")
-        return found["code"].to_numpy(np.int64), found["n"].to_numpy(np.int64)
-
-    def sums(rows: DataFrame, code: Column) -> DataFrame:
-        return rows.groupBy(code.alias("code")).agg(F.sum("n").alias("n"))
-
-    symbols, contexts = [], []
-    # Each order's grams are those of the order above without their first byte.
-    level = sums(counts.filter(F.col("gram") != _NO_GRAM), F.col("gram"))
-    for k in range(ORDER, -1, -1):
-        if k < ORDER:
-            level = sums(level, F.col("code").bitwiseAND(256 ** (k + 1) - 1))
-        level = stored(level, f"grams_{k}")
-        symbols.append(kept(level, SYMBOL_SHARE))
-        node = CONTEXT_SHARE if k > DENSE else 0.0
-        contexts.append(kept(sums(level, F.shiftright("code", 8)), node))
-    return symbols[::-1], contexts[::-1]
-
-
-# The model that a worker has built last, by its broadcast.
-_built: dict[int, ByteModel] = {}
-
-
-def _model_of(broadcast) -> ByteModel:
-    found = _built.get(id(broadcast.value))
-    if found is None:
-        _built.clear()
-        found = _built[id(broadcast.value)] = ByteModel(*broadcast.value[0])
-    return found
+    def shorter(k: int) -> Column:
+        return F.col("code").bitwiseAND(256**k - 1)
+
+    levels = [grams]
+    for k in range(ORDER, 0, -1):
+        level = levels[-1].groupBy(shorter(k).alias("code")).agg(F.sum("n").alias("n"))
+        levels.append(stored(level, f"grams_{k - 1}"))
+    seen = F.col("n") > 0
+    whole, distinct = F.sum("n"), F.count(F.when(seen, 1))
+    here = F.log10(F.col("n") - 0.5) - F.log10("whole")
+    leave = F.log10(F.col("distinct") / 2) - F.log10("whole")
+
+    root = levels.pop()
+    of_all = W.partitionBy(F.shiftright("code", 8))  # 256 rows at most
+    root = root.withColumns({"whole": whole.over(of_all), "distinct": distinct.over(of_all)})
+    alike = -F.log10(F.greatest(F.lit(1), 256 - F.col("distinct")))
+    cost = F.when(seen, here).when(F.col("whole") > 0, leave + alike).otherwise(alike)
+    below = stored(root.withColumns({"escaped": alike, "log10": cost}), "costs_0")
+    for k in range(1, ORDER + 1):
+        up = below.select(F.col("code").alias("up"), *(F.col(c).alias(f"up_{c}") for c in _LEVEL))
+        level = levels.pop().withColumn("up", shorter(k)).join(up, "up")
+        follows = W.partitionBy(F.shiftright("code", 8))
+        level = level.withColumns(
+            {
+                "whole": whole.over(follows),
+                "distinct": distinct.over(follows),
+                "ruled_out": F.sum(F.when(seen, F.col("up_n")).otherwise(0)).over(follows),
+            }
+        )
+        left = F.col("up_whole") - F.col("ruled_out")
+        free = (F.col("up_distinct") - F.col("distinct")) / 2
+        further = F.log10(free) - F.log10(left) + F.col("up_escaped")
+        found = F.log10(F.col("up_n") - 0.5) - F.log10(left)
+        # Where every symbol of the shorter context is ruled out, it costs nothing.
+        escaped = (
+            F.when(left <= 0, F.col("up_escaped"))
+            .when(F.col("up_n") > 0, found)
+            .otherwise(further)
+        )
+        level = level.withColumn("escaped", F.when(~seen, escaped))
+        cost = F.when(seen, here).when(F.col("whole") > 0, leave + F.col("escaped"))
+        level = level.withColumn("log10", cost.otherwise(F.col("up_log10")))
+        wanted = _LEVEL if k < ORDER else ("n", "log10")
+        below = stored(level.select("code", *wanted), f"costs_{k}")
+    return below
+
+
+_LEVEL = ("n", "whole", "distinct", "escaped", "log10")
+
+
+def _least_count(rows: DataFrame, most: int) -> int:
+    """The smallest n of which at most ``most`` rows have as much or more."""
+    step = F.floor(F.log2("n") * 16).cast("int")
+    steps = rows.filter("n > 0").groupBy(step.alias("step")).agg(
+        F.count(F.lit(1)).alias("rows"), F.min("n").alias("least"), F.max("n").alias("top")
+    )
+    found, total = None, 0
+    for r in sorted(steps.collect(), key=lambda r: -r["step"]):
+        total += r["rows"]
+        if total > most:
+            return found if found is not None else r["top"] + 1
+        found = r["least"]
+    return found or 1
 
 
 def score_texts(
@@ -233,6 +193,8 @@ def score_texts(
     id_col: str = "doc_id",
     text_col: str = "text",
     alpha: float = 0.1,
+    head_words: int = HEAD_WORDS,
+    head_grams: int = HEAD_GRAMS,
 ) -> DataFrame:
     """log10 probabilities of every text: a byte model's, and a word count's.
 
@@ -245,9 +207,9 @@ def score_texts(
     symbol has probability 1/256 and N and V are 0. Repeated rows are scored each.
     Columns: id_col, held_out, n_tokens, n_known, train_tokens, base_score, score.
 
-    Words and grams of all training texts are counted in one pass and one shuffle.
-    The trie goes to every task; of words only the frequent head does, and the
-    others of each text are joined with their counts.
+    Words and grams of all texts are counted in one pass and one shuffle. The most
+    frequent ones go to every task, up to a number; the others of each text are
+    joined with their costs. Nothing is left out of the counts.
     """
     spark = docs.sparkSession
     rows = docs.select(
@@ -256,25 +218,29 @@ def score_texts(
         F.coalesce(F.col(held_out_col), F.lit(False)).alias("held_out"),
         F.col(text_col).alias("text"),
     )
-    training = rows.filter(~F.col("held_out")).select("text")
-    counts = training.mapInArrow(_count_batches, "word binary, gram bigint, n bigint")
+    counts = rows.select("held_out", "text").mapInArrow(
+        _count_batches, "word binary, gram bigint, n bigint"
+    )
     counts = stored(counts.groupBy("word", "gram").agg(F.sum("n").alias("n")), "counts")
     is_word = F.col("gram") == _NO_GRAM
-    facts = counts.filter("n > 0").agg(
-        F.coalesce(F.sum(F.when(is_word, F.col("n"))), F.lit(0)).alias("tokens"),
-        F.count(F.when(is_word, 1)).alias("words"),
-        F.coalesce(F.sum(F.when(~is_word, F.col("n"))), F.lit(0)).alias("symbols"),
+    words = counts.filter(is_word & (F.col("n") > 0)).select("word", "n")
+    facts = words.agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("tokens"), F.count(F.lit(1)).alias("words")
     ).first()
     n_train, distinct = facts["tokens"], facts["words"]
-    words = counts.filter(is_word & (F.col("n") > 0)).select("word", "n")
-    head = words.filter(F.col("n") >= HEAD_SHARE * n_train)
-    frequent = {bytes(r["word"]): r["n"] for r in head.collect()}
-    shared = spark.sparkContext.broadcast((trie_counts(counts, facts["symbols"]), frequent))
+    costs = gram_costs(counts.filter(~is_word).select(F.col("gram").alias("code"), "n"))
+    least_word, least_gram = _least_count(words, head_words), _least_count(costs, head_grams)
+    words_head = words.filter(F.col("n") >= least_word).toArrow()
+    grams_head = costs.filter(F.col("n") >= least_gram).select("code", "log10").toArrow()
+    codes = grams_head.column("code").to_numpy()
+    order = np.argsort(codes)
+    logs = grams_head.column("log10").to_numpy()[order]
+    shared = spark.sparkContext.broadcast((words_head, codes[order], logs))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        byte_model = _model_of(shared)
-        logs = {w: math.log10(n + alpha) for w, n in shared.value[1].items()}
-        known = logs.get
+        frequent, codes, costs = shared.value
+        counted = zip(frequent.column("word").to_pylist(), frequent.column("n").to_pylist())
+        known = {w: math.log10(n + alpha) for w, n in counted}.get
         for batch in batches:
             data, starts = text_bytes(batch.column(3))
             for a, b in row_chunks(starts, CHUNK_BYTES):
@@ -293,8 +259,7 @@ def score_texts(
                     if end is None:
                         rare[b""] += 1
                     tails.append([{"word": w, "times": n} for w, n in rare.items()])
-                stream, places, first = coded_stream(texts)
-                score = np.add.reduceat(byte_model.log10(stream, places), first[:-1])
+                score, grams = _text_costs(*coded_stream(texts), codes, costs)
                 yield pa.RecordBatch.from_arrays(
                     [
                         *(batch.column(i).slice(a, b - a) for i in range(3)),
@@ -303,34 +268,72 @@ def score_texts(
                         pa.array(sums, pa.float64()),
                         pa.array(score, pa.float64()),
                         pa.array(tails, _TAIL),
+                        grams,
                     ],
-                    names=["row", "id", "held_out", "n_tokens", "n_head", "head", "score", "tail"],
+                    names=names,
                 )
 
+    names = ["row", "id", "held_out", "n_tokens", "n_head", "head", "score", "tail", "grams"]
+
     scored = rows.mapInArrow(
         run,
         "row bigint, id bigint, held_out boolean, n_tokens bigint, n_head bigint, "
-        "head double, score double, tail array<struct<word:binary,times:int>>",
+        "head double, score double, tail array<struct<word:binary,times:int>>, "
+        "grams array<struct<gram:bigint,times:bigint>>",
     )
     scored = stored(scored, "scored")
     tail = scored.select("row", F.explode("tail").alias("t")).select("row", "t.word", "t.times")
-    joined = tail.join(words.filter(F.col("n") < HEAD_SHARE * n_train), "word", "left")
-    n = F.coalesce("n", F.lit(0))
-    rest = joined.groupBy("row").agg(
+    joined = tail.join(words.filter(F.col("n") < least_word), "word", "left")
+    n, none = F.coalesce("n", F.lit(0)), F.lit(0).cast("long")
+    of_words = joined.groupBy("row").agg(
         F.sum(F.col("times") * F.log10(n + F.lit(alpha))).alias("rest"),
-        F.sum(F.when(n > 0, F.col("times")).otherwise(0)).alias("n_rest"),
+        F.sum(F.when(n > 0, F.col("times").cast("long")).otherwise(none)).alias("n_rest"),
+        F.lit(0.0).alias("grams_rest"),
+    )
+    tail = scored.select("row", F.explode("grams").alias("g")).select("row", "g.gram", "g.times")
+    rare = costs.filter(F.col("n") < least_gram).select(F.col("code").alias("gram"), "log10")
+    of_grams = tail.join(rare, "gram").groupBy("row").agg(
+        F.lit(0.0).alias("rest"),
+        none.alias("n_rest"),
+        F.sum(F.col("times") * F.col("log10")).alias("grams_rest"),
+    )
+    rest = of_words.unionByName(of_grams).groupBy("row").agg(
+        *(F.sum(c).alias(c) for c in ("rest", "n_rest", "grams_rest"))
     )
     each = math.log10(n_train + alpha * (distinct + 1))
     zero = F.lit(0)
-    return scored.drop("tail").join(rest, "row", "left").select(
+    return scored.drop("tail", "grams").join(rest, "row", "left").select(
         F.col("id").alias(id_col),
         "held_out",
         "n_tokens",
         (F.col("n_head") + F.coalesce("n_rest", zero)).alias("n_known"),
         F.lit(n_train).cast("long").alias("train_tokens"),
         (F.col("head") + F.coalesce("rest", zero) - F.col("n_tokens") * each).alias("base_score"),
-        "score",
+        (F.col("score") + F.coalesce("grams_rest", F.lit(0.0))).alias("score"),
+    )
+
+
+def _text_costs(
+    stream: np.ndarray, places: np.ndarray, first: np.ndarray, codes: np.ndarray, costs: np.ndarray
+) -> tuple[np.ndarray, pa.Array]:
+    """Each text's sum over the grams in ``codes`` (sorted), and its other grams, counted."""
+    own, which = np.unique(_grams(stream, places), return_inverse=True)
+    if len(codes):
+        at = np.minimum(np.searchsorted(codes, own), len(codes) - 1)
+        known = codes[at] == own
+        value = np.where(known, costs[at], 0.0)
+    else:
+        known, value = np.zeros(len(own), bool), np.zeros(len(own))
+    score = np.add.reduceat(value[which], first[:-1])
+    rare = np.flatnonzero(~known[which])
+    text = np.searchsorted(first, rare, "right") - 1
+    pairs, times = np.unique(text * len(own) + which[rare], return_counts=True)
+    ends = np.searchsorted(pairs // len(own), np.arange(len(first)))
+    grams = pa.StructArray.from_arrays(
+        [pa.array(own[pairs % len(own)], pa.int64()), pa.array(times, pa.int64())],
+        names=["gram", "times"],
     )
+    return score, pa.ListArray.from_arrays(pa.array(ends, pa.int32()), grams)
 
 
 _TAIL = pa.list_(pa.struct([("word", pa.binary()), ("times", pa.int32())]))

@@ -3,6 +3,7 @@
 import hashlib
 import re
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -268,23 +269,59 @@ def test_language(spark):
     assert {r["language"]["lang_pred"] for r in langid.predict(docs, nothing).collect()} == {"und"}
 
 
-def test_probabilities_sum_to_one():
-    rng = np.random.default_rng(1)
-    docs = [b" ".join(bytes(rng.choice(list(b"abc d"), 400)).split()) for _ in range(10)]
-    stream, places, _ = ppm.coded_stream(docs)
-    grams = ppm._grams(stream, places)
-    for share in (0, 0.004):
-        symbols, totals = [], []
-        for k in range(ppm.ORDER + 1):
-            for out, code, least in ((symbols, grams, share), (totals, grams >> 8, share if k > ppm.DENSE else 0)):
-                u, n = np.unique(code & (256 ** (k + (out is symbols)) - 1), return_counts=True)
-                out.append((u[n >= least * len(grams)], n[n >= least * len(grams)]))
-        model = ppm.ByteModel(symbols, totals)
-        for context in (b"\n" * 8, b"abcaabca", b"zzzzzzab", b"zzzzzzzz"):
-            lead = context[: ppm.ORDER] if context[0] != 122 else context[-ppm.ORDER :]
-            tests = np.frombuffer(b"".join(lead + bytes([x]) for x in range(256)), np.uint8)
-            at = np.arange(256) * (ppm.ORDER + 1) + ppm.ORDER
-            assert abs((10 ** model.log10(tests, at)).sum() - 1) < 1e-5
+def plain_log10(training, text):
+    """PPM with method D and exclusion, one symbol after the other."""
+    follow = {}
+    lead = b"\n" * ppm.ORDER
+    for t in training:
+        coded = lead + t + b"\n"
+        for at in range(ppm.ORDER, len(coded)):
+            for k in range(ppm.ORDER + 1):
+                follow.setdefault(coded[at - k : at], Counter())[coded[at]] += 1
+    coded, total = lead + text + b"\n", 0.0
+    for at in range(ppm.ORDER, len(coded)):
+        out = set()
+        for k in range(ppm.ORDER, -1, -1):
+            seen = {s: n for s, n in follow.get(coded[at - k : at], {}).items() if s not in out}
+            if not seen:
+                continue
+            if coded[at] in seen:
+                total += np.log10((seen[coded[at]] - 0.5) / sum(seen.values()))
+                break
+            total += np.log10(len(seen) / 2 / sum(seen.values()))
+            out |= set(seen)
+        else:
+            total -= np.log10(max(1, 256 - len(out)))
+    return total
+
+
+def test_language_model_against_plain(spark):
+    texts = ["abra cadabra abra", "Abra  abab", "", None, "abracadab zz", "qq\x00 abrac", "ä ab abr", "abra cadabra abra"]
+    docs = table(spark, texts).withColumn("held_out", F.col("doc_id") >= 4)
+    coded = [b" ".join((t or "").encode().translate(LOWER).split()) for t in texts]
+    for heads in ({}, {"head_words": 2, "head_grams": 5}, {"head_words": 0, "head_grams": 0}):
+        got = {r["doc_id"]: r for r in ppm.score_texts(docs, "held_out", **heads).collect()}
+        assert len(got) == len(texts)
+        for i, t in enumerate(coded):
+            assert got[i]["score"] == pytest.approx(plain_log10(coded[:4], t))
+    unlearnt = ppm.score_texts(docs.withColumn("held_out", F.lit(True)), "held_out").collect()
+    for r in unlearnt:
+        size = len(coded[r["doc_id"]]) + 1
+        assert r["score"] == pytest.approx(-size * np.log10(256)) and r["train_tokens"] == 0
+
+
+def test_gram_costs_sum_to_one(spark):
+    stream, places, _ = ppm.coded_stream([b"abracadabra", b"abcabcaab"])
+    grams = Counter(ppm._grams(stream, places).tolist())
+    contexts = (b"\n\n\n\n\n", b"abrac", b"caabc", b"zzzab", b"zzzzz")
+    for context in contexts:
+        for symbol in range(256):
+            grams[int.from_bytes(context + bytes([symbol]), "big")] += 0
+    costs = ppm.gram_costs(spark.createDataFrame(list(grams.items()), "code long, n long"))
+    sums = costs.groupBy(F.shiftright("code", 8).alias("c")).agg(F.sum(F.pow(F.lit(10.0), "log10")).alias("p"))
+    sums = {r["c"]: r["p"] for r in sums.collect()}
+    for context in contexts:
+        assert sums[int.from_bytes(context, "big")] == pytest.approx(1)
 
 
 def test_language_model_scores(spark, texts):

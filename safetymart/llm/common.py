@@ -75,6 +75,12 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def dropped(df: DataFrame) -> None:
+    """Deletes the folder of a table that ``stored`` returned and nobody reads any more."""
+    for folder in {file.rpartition("/")[0] for file in df.inputFiles()}:
+        delete_dir(df.sparkSession, folder)
+
+
 def shuffle_partitions(df: DataFrame) -> int:
     """Partitions for shuffling ``df`` whole: the session's number, or more by its size."""
     configured = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from safetymart.llm.common import LOWER, row_chunks, text_bytes, unused
+from safetymart.llm.common import LOWER, dropped, row_chunks, stored, text_bytes, unused
 
 # The bytes that words are made of, after lower-casing.
 _WORD = {*range(0x30, 0x3A), *range(0x61, 0x7B), *range(0x80, 0x100)}
@@ -254,7 +254,9 @@ def find_leaks(
     item without words no windows; an item with a null id marks words but is not
     listed; repeated rows each get their own result. A column named ``into``
     would be replaced. No shuffle; items are collected in blocks of about
-    ``BLOCK_WORDS`` words, for each of which the documents are passed once.
+    ``BLOCK_WORDS`` words, for each of which the documents are passed once. Of more
+    blocks than one, each pass but the last is written to the shared folder, so that
+    one block's automaton is broadcast at a time and one pass is on disk.
     """
     spark = docs.sparkSession
     texts = items.select(
@@ -269,11 +271,18 @@ def find_leaks(
     leak = T.StructField(into, T._parse_datatype_string(LEAK))
     schema = T.StructType([*docs.schema.fields, leak])
     arrow = pa.schema([(into, _arrow_type())])
+    passed = None
     for block in range(blocks):
         rows = dealt.filter(F.col("block") == block).select("id", "text").collect()
         model = SuffixAutomaton(((r["id"], bytes(r["text"])) for r in rows), window)
         shared = spark.sparkContext.broadcast(model)
         docs = docs.mapInArrow(_scan_batches(shared, text_col, into, arrow), schema)
+        if block + 1 < blocks:
+            docs, before = stored(docs, "passed"), passed
+            passed = docs
+            shared.unpersist()
+            if before is not None:
+                dropped(before)
     return docs
 
 

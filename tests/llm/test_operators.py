@@ -89,7 +89,12 @@ def test_leaks_in_blocks_are_the_same(spark, texts, monkeypatch):
     bench = spark.createDataFrame(list(enumerate(texts[15:35])), "item_id long, text string")
     whole = decontaminate.find_leaks(table(spark, texts), bench).collect()
     monkeypatch.setattr(decontaminate, "BLOCK_WORDS", 400)
-    assert sorted(decontaminate.find_leaks(table(spark, texts), bench).collect(), key=str) == sorted(whole, key=str)
+    found = decontaminate.find_leaks(table(spark, texts), bench)
+    assert sorted(found.collect(), key=str) == sorted(whole, key=str)
+    # One block's automaton at a time: the last one, over the written pass before.
+    assert found._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+    passes = {f.rpartition("/")[0] for f in found.inputFiles()}
+    assert len(passes) == 1 and "passed-" in passes.pop()
 
 
 def test_leaks_are_cut_out(spark):

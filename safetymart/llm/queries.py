@@ -79,10 +79,11 @@ def op6_warc_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     those with ``02`` to ``05`` were altered.
     """
     records = record_digests(warc_records(read_table(spark, sf_dir, "pages")))
+    records = stored(records, "records")
     first = F.left("digest", F.lit(2))
     altered = F.when(first <= "05", F.sha2("digest", 256)).otherwise(F.col("digest"))
     replica = records.filter(first > "01").withColumn("digest", altered)
-    return audit(stored(records, "records"), stored(replica, "replica"))
+    return audit(records, stored(replica, "replica"))
 
 
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -557,6 +557,31 @@ def test_groups_stay_whole_besides_one_above_the_quota(spark):
     assert split_groups(table(spark, texts)) == (1, [150] * 8)
 
 
+def test_groups_move_to_most_of_their_members_under_quotas(spark, monkeypatch):
+    """Also with running sums over several buckets of a shard's proposals."""
+    monkeypatch.setattr(sharding, "GROUP_ROWS", 2)
+    placed = {"a": {0: 5, 1: 1}, "b": {0: 1, 1: 3}, "c": {1: 2}, "d": {0: 2, 1: 2}, "e": {2: 9}}
+    blocks = [(k, s, n) for k, where in placed.items() for s, n in where.items()]
+    groups = [(k, sum(where.values())) for k, where in placed.items()]
+    blocks = spark.createDataFrame(blocks, "key string, shard int, n long")
+    groups = spark.createDataFrame(groups, "key string, members long")
+    settled, room = sharding.propagate(blocks, groups, [7, 8, 4])
+    got = {r["key"]: r["shard"] for r in settled.collect()}
+    # e fits no shard; c and d are left to the rooms that a and b leave.
+    assert (got["a"], got["b"]) == (0, 1) and "e" not in got and set(got) == set("abcd")
+    loads = [sum(m for k, m in ((k, sum(w.values())) for k, w in placed.items()) if got.get(k) == s) for s in range(3)]
+    assert [r + n for r, n in zip(room, loads)] == [7, 8, 4] and min(room) >= 0
+
+
+def test_shards_of_null_and_text_ids_and_clashing_columns(spark):
+    rows = [(None, "same"), ("x", "same"), ("x", "same"), ("y", None), (None, None), ("z", "")]
+    docs = spark.createDataFrame(rows, "doc_id string, text string")
+    docs = docs.select("*", *(F.lit(1).alias(c) for c in ("key", "shard", "slot", "n", "members")))
+    got = sharding.assign_shards(docs, 2).collect()
+    assert sorted((r["shard"], r["slot"]) for r in got) == [(s, i) for s in (0, 1) for i in range(3)]
+    assert len({r["shard"] for r in got if r["size"] == 20}) == 1
+
+
 def test_groups_stay_whole_where_quotas_are_full(spark):
     assert split_groups(table(spark, [f"group {i // 20}" for i in range(1600)])) == (0, [200] * 8)
 

@@ -14,10 +14,11 @@ RANGE_BYTES, FANOUT = 64 << 10, 8
 
 
 def warc_records(pages: DataFrame, per_archive: int = RECORDS_PER_ARCHIVE) -> DataFrame:
-    """Pages as records of archive files: archive, offset, length, record.
+    """Pages as records of archive files: archive, page, length, record; row by row.
 
-    Pages of ``per_archive`` consecutive ids make an archive, ordered by id, url and
-    content; a null id is dealt out by its url. Null url or html counts as empty.
+    Pages of ``per_archive`` consecutive ids make an archive; a null id is dealt out by
+    its url. Null url or html counts as empty. Repeated rows are a record each.
+    ``record_digests`` says where each record stands in its archive.
     """
     url, html = (F.coalesce(F.col(c), F.lit("")) for c in ("url", "html"))
     page = F.coalesce(F.col("page_id"), F.xxhash64(url))
@@ -32,23 +33,27 @@ def warc_records(pages: DataFrame, per_archive: int = RECORDS_PER_ARCHIVE) -> Da
         html,
         F.lit("\r\n\r\n"),
     )
-    rows = pages.select(
+    return pages.select(
         F.floor(page / per_archive).cast("long").alias("archive"),
         page.alias("page"),
-        record.alias("record"),
         F.octet_length(record).cast("long").alias("length"),
+        record.alias("record"),
     )
-    before = W.partitionBy("archive").orderBy("page", "record")
-    before = before.rowsBetween(W.unboundedPreceding, -1)
-    offset = F.coalesce(F.sum("length").over(before), F.lit(0))
-    return rows.select("archive", offset.alias("offset"), "length", "record")
 
 
 def record_digests(records: DataFrame) -> DataFrame:
-    """(archive, offset, length, digest) of records: the leaves of the trees."""
-    return records.select(
-        "archive", "offset", "length", F.sha2(F.encode("record", "UTF-8"), 256).alias("digest")
-    )
+    """(archive, offset, length, digest) of records: the leaves of the trees.
+
+    An archive holds its records by page; those of one page stand by length and digest.
+    Records are digested where they are read: what the offsets are summed over, and all
+    that moves, is a row of fixed size for each record.
+    """
+    digest = F.sha2(F.encode("record", "UTF-8"), 256)
+    rows = records.select("archive", "page", "length", digest.alias("digest"))
+    before = W.partitionBy("archive").orderBy("page", "length", "digest")
+    before = before.rowsBetween(W.unboundedPreceding, -1)
+    offset = F.coalesce(F.sum("length").over(before), F.lit(0))
+    return rows.select("archive", offset.alias("offset"), "length", "digest")
 
 
 def _ranges(leaves: DataFrame) -> DataFrame:

@@ -245,6 +245,20 @@ def pages(spark, rows):
     return spark.createDataFrame(rows, "page_id long, url string, html string")
 
 
+def test_records_are_digested_before_they_are_placed(spark):
+    """Whole pages move nowhere; records of one page stand by length and digest."""
+    rows = [(1, "u", "b" * 9), (1, "u", "a"), (1, "u", "a"), (0, None, None), (None, "u", "c"), (2, "v", "")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    leaves = warc.record_digests(warc.warc_records(pages))
+    plan = leaves._jdf.queryExecution().optimizedPlan().toString()
+    above, window, below = plan.partition("Window ")
+    assert window and "html" not in above and "sha2(" not in above and "sha2(" in below
+    got = sorted(tuple(r) for r in leaves.filter("archive = 0").collect())
+    assert [n for _, _, n, _ in got][1] <= [n for _, _, n, _ in got][3]
+    assert [at for _, at, _, _ in got] == [sum(r[2] for r in got[:i]) for i in range(5)]
+    assert got[1][3] == got[2][3] != got[3][3]
+
+
 def test_audit_finds_what_differs(spark):
     rows = pages(spark, [(i, f"u{i}", "h" * (i * 37 % 900)) for i in range(2_500)] + [(None, None, None)])
     left = warc.record_digests(warc.warc_records(rows))

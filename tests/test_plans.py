@@ -12,6 +12,7 @@ from safetymart.plans.silver import build_silver
 from safetymart.schemas import SILVER_COLUMNS
 from safetymart.sources.fixtures import fda_raw, fsis_raw
 from tests.conftest import plan_of
+from verification import roundtrips
 
 SF = "/root/testdata/sf0.001"
 LAZY = [
@@ -127,3 +128,34 @@ def test_scratch_folder_is_the_shared_one(spark):
     shared = spark.conf.get("spark.checkpoint.dir")
     one, two = session.scratch_dir(spark, "x"), session.scratch_dir(spark, "x")
     assert one.startswith(f"{shared}/x-") and one != two
+
+
+def test_the_gate_joins_its_rows_once(spark, fda, fsis, rows, monkeypatch):
+    def notice(number, firm, state):
+        return {
+            "recall_number": number, "recalling_firm": firm, "state": state,
+            "classification": "Class I", "recall_initiation_date": "20200102",
+        }
+
+    raw = fda(
+        notice("F-1", "A", "UNKNOWN"), notice("F-2", "A", None), notice("F-3", "B", "TX"),
+        notice("F-4", None, "UNKNOWN"), notice("F-5", "C", None), notice(None, "B", "TX"),
+        {**notice("F-6", "B", "TX"), "classification": None},
+    )
+    monkeypatch.setattr(roundtrips, "fda_raw", lambda *_: raw)
+    monkeypatch.setattr(roundtrips, "fsis_raw", lambda *_: fsis())
+    plans, days = [], []
+    run_gold, write = roundtrips.run_gold, roundtrips.tables.write_silver
+
+    def recorded(spark, silver, *args, **more):
+        plans.append(plan_of(silver))
+        return run_gold(spark, silver, *args, **more)
+
+    monkeypatch.setattr(roundtrips, "run_gold", recorded)
+    monkeypatch.setattr(
+        roundtrips.tables, "write_silver", lambda df, *a: days.append(a) or write(df, *a)
+    )
+    assert rows(roundtrips.gold_gate(spark, SF)) == [(2020, "Class I", "FDA", 3, 1)]
+    # Each build reads its rows several times; none may join or shuffle them anew.
+    assert not any("Join" in plan for plan in plans)
+    assert len(days) == 1

@@ -96,10 +96,15 @@ def bronze_malformed(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _silver_day(spark: SparkSession, sf_dir: str, base: str) -> str:
+    """A written silver day with all recalls."""
+    silver = build_silver(fda_raw(spark, sf_dir), fsis_raw(spark, sf_dir))
+    return tables.write_silver(silver, base, _DAY)
+
+
 def _silver_days(spark: SparkSession, sf_dir: str, base: str) -> tuple[str, str]:
     """Two written silver days: the recalls of one agency, then all."""
-    silver = build_silver(fda_raw(spark, sf_dir), fsis_raw(spark, sf_dir))
-    whole = tables.write_silver(silver, base, _DAY)
+    whole = _silver_day(spark, sf_dir, base)
     part = spark.read.parquet(whole).filter("source_agency = 'FDA'")
     return tables.write_silver(part, base, _EARLIER), whole
 
@@ -140,12 +145,14 @@ def gold_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
     classification that no list holds.
     """
     base = scratch_dir(spark, "gate")
-    path = _silver_days(spark, sf_dir, base)[1]
-    silver = spark.read.parquet(path).filter("classification IS NOT NULL AND recall_date IS NOT NULL")
-    silver = silver.join(
-        # A company without a state and one whose state is that word share their key.
-        silver.filter("state = 'UNKNOWN'").select("company").distinct(), "company", "left_anti"
-    )
+    whole = spark.read.parquet(_silver_day(spark, sf_dir, base))
+    dated = whole.filter("classification IS NOT NULL AND recall_date IS NOT NULL")
+    # A company without a state and one whose state is that word share their key. Both
+    # are stored: the join is planned by the companies' real size, and made once.
+    dated.filter("state = 'UNKNOWN'").select("company").distinct().write.parquet(f"{base}/unknown")
+    unknown = spark.read.parquet(f"{base}/unknown")
+    dated.join(unknown, "company", "left_anti").write.parquet(f"{base}/passing")
+    silver = spark.read.parquet(f"{base}/passing")
     run_gold(spark, silver, f"{base}/gold")
     stopped = 0
     try:
@@ -159,7 +166,7 @@ def gold_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
 def gold_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows and order-free fingerprints of the staging view and all published models."""
     base = scratch_dir(spark, "gold")
-    silver = spark.read.parquet(_silver_days(spark, sf_dir, base)[1])
+    silver = spark.read.parquet(_silver_day(spark, sf_dir, base))
     run_gold(spark, silver, f"{base}/gold", on_failure="warn")
     models = {k: v for k, v in read_gold(spark, f"{base}/gold").items() if k != "rollup"}
     models["fct_recalls"] = models["fct_recalls"].drop(tables.FACT_MONTH)

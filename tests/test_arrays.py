@@ -4,9 +4,11 @@ import json
 import random
 
 import pytest
+from pyspark.sql.readwriter import DataFrameWriter
 
 from conftest import plan_of
 from safetymart.sources import arrays
+from verification import roundtrips
 
 
 def _value(rng, depth=0):
@@ -66,3 +68,23 @@ def test_what_is_no_array_fails(spark, tmp_path, text):
     (tmp_path / "a.json").write_text(text)
     with pytest.raises(Exception, match="expected a JSON array|MALFORMED_RECORD"):
         arrays.array_elements(spark, str(tmp_path)).collect()
+
+
+@pytest.mark.parametrize("count", [0, 1, 40])
+def test_the_saved_response_is_written_without_holding_its_lines(
+    spark, fsis, rows, monkeypatch, count
+):
+    raw = fsis(*[{"field_title": f"t{i}", "field_states": '}],["'} for i in range(count)])
+    monkeypatch.setattr(roundtrips, "fsis_raw", lambda *_: raw.repartition(3))
+    plans, files, text = [], [], DataFrameWriter.text
+
+    def recorded(writer, path, **more):
+        plans.append(plan_of(writer._df))
+        files.append(path)
+        text(writer, path, **more)
+
+    monkeypatch.setattr(DataFrameWriter, "text", recorded)
+    assert rows(roundtrips.array_records(spark, "")) == rows(raw.unionByName(raw))
+    assert len(plans) == 1 and "Sort" not in plans[0]
+    lines = [r[0] for r in spark.read.text(files[0], wholetext=True).collect()]
+    assert len(lines) == 1 and len(json.loads(lines[0])) == 2 * count + 1

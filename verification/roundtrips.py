@@ -6,8 +6,10 @@ Files go to a new folder below the one that ``spark.checkpoint.dir`` names.
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -35,19 +37,31 @@ def page_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bronze.parse_records(records, FDA_RAW)
 
 
+def _enclosed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Lines, nulls aside, between those that open and close an array."""
+
+    def line(text: str) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([text])], names=["value"])
+
+    yield line('[{"field_title":"first"}')
+    for batch in batches:
+        yield batch.filter(batch.column(0).is_valid())
+    yield line("]")
+
+
 def array_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Records out of one file that is one JSON array, cut at 64 KB; each stands twice.
 
-    A saved response is one file, so one task writes it, line by line.
+    A saved response is one file, so one task writes it, line by line. The array's ends
+    are put around the lines as they pass: a sort would hold all lines in that task.
     """
     record = F.to_json(F.struct("*", F.struct(F.lit('"}],{').alias("x")).alias("nested")))
-    raw = fsis_raw(spark, sf_dir).select(record.alias("value"))
-    comma = F.concat(F.lit(","), "value").alias("value")
-    lines = raw.unionByName(raw).select(F.lit(1).alias("place"), comma)
-    ends = spark.createDataFrame([(0, '[{"field_title":"first"}'), (2, "]")], lines.schema)
+    raw = fsis_raw(spark, sf_dir).select(F.concat(F.lit(","), record).alias("value"))
+    # Without any row the lines would not pass through at all.
+    some = spark.range(1).select(F.lit(None).cast("string").alias("value"))
+    lines = raw.unionByName(raw).unionByName(some)
     folder = scratch_dir(spark, "array")
-    whole = lines.unionByName(ends).coalesce(1).sortWithinPartitions("place")
-    whole.select("value").write.text(folder)
+    lines.coalesce(1).mapInArrow(_enclosed, "value string").write.text(folder)
     records = bronze.read_array_feed(spark, folder, split_bytes=1 << 16)
     return bronze.parse_records(records, FSIS_RAW).filter("field_title <> 'first'")
 

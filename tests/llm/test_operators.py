@@ -179,6 +179,30 @@ def test_repeated_strings(spark, texts, monkeypatch, most):
     assert got == dict(enumerate(repeats(own, suffix_dedup.LENGTH)))
 
 
+def test_repeats_carry_on_shared_keys_only_and_leave_the_marks(spark, monkeypatch, tmp_path):
+    """Rows of keys that stand once go no further, and tables go when they were read."""
+    kept, keys = common.stored, {}
+
+    def noted(df, label):
+        done = kept(df, label)
+        if label in ("rows", "contents"):
+            keys[label] = Counter(r["key"] for r in done.select("key").collect())
+        return done
+
+    monkeypatch.setattr(suffix_dedup, "stored", noted)
+    monkeypatch.setattr(common, "scratch_dir", lambda spark, label: f"{tmp_path}/{label}")
+    rng = np.random.default_rng(5)
+    lone, twice = ("".join(chr(97 + c) for c in rng.integers(0, 26, 3_000)) for _ in range(2))
+    own = [lone, f"x{twice}", f"{twice}y", None, "", twice[:399]]
+    found = suffix_dedup.remove_repeats(table(spark, own))
+    assert [p.name for p in tmp_path.iterdir()] == ["marks"]
+    got = {r["doc_id"]: bytes(r["kept"]) for r in found.collect()}
+    assert got == dict(enumerate(repeats(own, suffix_dedup.LENGTH)))
+    alone = suffix_dedup.anchors(np.frombuffer(lone.encode(), np.uint8), np.zeros(0, np.uint64))[0]
+    assert not set(alone.view(np.int64).tolist()) & set(keys["contents"])
+    assert min(keys["rows"].values()) > 1
+
+
 def edited(rng, n):
     """Copies of one text with ever more of its words replaced."""
     base = [f"w{i}" for i in range(150)]
